@@ -24,7 +24,7 @@ def matches(content: Column, term: DataFrame | list[str] | None) -> Column:
         pattern = term.select("pattern").scalar()
     else:
         pattern = term_columns(F.array(*map(F.lit, term)))[1] if term else F.lit(None).cast("string")
-    return pattern.isNull() | content.rlike(pattern)
+    return pattern.isNull() | F.rlike(content, pattern)
 
 
 def capped(df: DataFrame, groups: list[str], order: list[Column], limit: int, unique: str,
@@ -40,7 +40,7 @@ def capped(df: DataFrame, groups: list[str], order: list[Column], limit: int, un
     slices = fan ** levels
     df = df.withColumn("_slice", F.pmod(F.xxhash64(unique, F.spark_partition_id()), F.lit(slices)))
     for level in range(levels, -1, -1):
-        df = df.withColumn("_slice", F.pmod("_slice", F.lit(fan ** level)))
+        df = df.withColumn("_slice", F.pmod(F.col("_slice"), F.lit(fan ** level)))
         ranked = Window.partitionBy(*groups, "_slice").orderBy(*order)
         df = df.withColumn("_place", F.row_number().over(ranked)).where(F.col("_place") <= limit)
     return df.drop("_slice", "_place")
