@@ -1 +1,13 @@
 """Column-to-column helpers built only from built-in Spark functions."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

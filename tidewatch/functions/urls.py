@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidewatch.functions import bind
+
 # Scheme and authority are optional; text without a scheme is all path.
 PATH_PATTERN = r"^(?:(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*|[a-zA-Z][a-zA-Z0-9+.-]*:)?([^?#]*)"
 PARAMS_PATTERN = r";[^/]*$"
@@ -33,7 +35,11 @@ def percent_decode(text: Column) -> Column:
 
 def path_segments(url: Column) -> Column:
     """Non-empty path segments, decoded before the split so that ``%2F`` splits too."""
-    return F.filter(F.split(percent_decode(url_path(url)), "/"), lambda s: s != "")
+    def split(path: Column) -> Column:
+        decoded = F.when(F.contains(path, F.lit("%")), percent_decode(path)).otherwise(path)
+        return F.filter(F.split(decoded, "/"), lambda s: s != "")
+
+    return bind(url_path(url), split)
 
 
 def is_technical(segment: Column) -> Column:

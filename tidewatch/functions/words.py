@@ -6,8 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TOKEN_PATTERN = r"[\p{L}\p{M}\p{N}]+(?:['’][\p{L}\p{M}]+)*|[^\s\p{L}\p{M}\p{N}]"
-WORD_PATTERN = r"[\p{L}\p{N}]"
+WORD_PATTERN = r"[\p{L}\p{M}\p{N}]"
 NUMERAL_PATTERN = r"^\p{N}+(?:st|nd|rd|th)?$"
+NO_WORD_PATTERN = rf"{NUMERAL_PATTERN}|^[^\p{{L}}\p{{M}}\p{{N}}]$"
 
 # English number words.
 NUMBER_WORDS = (
@@ -39,25 +40,53 @@ def is_acronym(token: Column) -> Column:
     return (F.length(token) >= 2) & (F.upper(token) == token) & (F.lower(token) != token)
 
 
-def describe(token: Column, stop_words: list[str], tag: Column | None = None,
-             lemma: Column | None = None) -> Column:
-    """Token as ``{word, tag, keep}``.
+def noun_tokens(text: Column, stop_words: list[str]) -> Column:
+    """Tokens as ``{text, low, noun}``: without a lexicon every real word but a stop word is a noun."""
+    no_nouns = [*stop_words, *NUMBER_WORDS]
+    lowered = F.transform(tokens(text), lambda t: F.struct(t.alias("text"), F.lower(t).alias("low")))
+    return F.transform(lowered, lambda t: F.struct(
+        t["text"].alias("text"), t["low"].alias("low"),
+        (~t["low"].isin(no_nouns) & ~t["low"].rlike(NO_WORD_PATTERN)).alias("noun"),
+    ))
+
+
+def best_noun_title(titles: Column, stop_words: list[str]) -> Column:
+    """``{score, order, title, tokens}`` of the title with the highest score, the first of equals.
+
+    The score is ten times the share of meaningful tokens plus twice their number; null
+    when no title has one. Each step binds what the next one reuses.
+    """
+    tokenized = F.transform(titles, lambda title, i: F.struct(
+        i.alias("i"), title.alias("title"), noun_tokens(title, stop_words).alias("tokens")))
+    counted = F.transform(tokenized, lambda s: F.struct(
+        F.size(F.filter(s["tokens"], lambda t: t["noun"] & (F.length(t["text"]) > 2))).alias("m"), s.alias("s")))
+    scored = F.transform(F.filter(counted, lambda c: c["m"] > 0), lambda c: F.struct(
+        (c["m"] / F.size(c["s"]["tokens"]) * 10 + c["m"] * 2).alias("score"),
+        (-c["s"]["i"]).alias("order"), c["s"]["title"].alias("title"), c["s"]["tokens"].alias("tokens")))
+    return F.array_max(scored)
+
+
+def noun_keywords(described: Column, max_keywords: int) -> Column:
+    """Distinct acronyms and nouns of two letters or more in order of first occurrence."""
+    kept = F.filter(described, lambda t: (t["noun"] & (F.length(t["text"]) >= 2)) | is_acronym(t["text"]))
+    return F.slice(F.array_distinct(F.transform(kept, lambda t: t["low"])), 1, max_keywords)
+
+
+def describe(token: Column, stop_words: list[str], tag: Column, lemma: Column) -> Column:
+    """Token with its lexicon entry, if any, as ``{word, tag, keep}``.
 
     ``word`` is the keyword it gives and ``keep`` tells whether it is one. ``tag`` is the
     part of speech that counts toward the title score, null for short tokens, numbers and
-    punctuation. A word without a given tag is a noun unless it is a stop word.
+    punctuation. A word without an entry is a noun unless it is a stop word.
     """
     low = F.lower(token)
     stop = low.isin(stop_words) if stop_words else F.lit(False)
-    worded = token.rlike(WORD_PATTERN)
-    plain = worded & ~low.rlike(NUMERAL_PATTERN) & ~low.isin(NUMBER_WORDS)
-    default_tag = F.when(worded & ~stop, F.lit("NOUN"))
-    tag = default_tag if tag is None else F.coalesce(tag, default_tag)
-    lemma = low if lemma is None else F.lower(F.coalesce(lemma, token))
+    plain = ~low.rlike(NO_WORD_PATTERN) & ~low.isin(NUMBER_WORDS)
+    tag = F.coalesce(tag, F.when(token.rlike(WORD_PATTERN) & ~stop, F.lit("NOUN")))
     acronym = is_acronym(token)
     tagged = F.coalesce(tag.isin(*KEYWORD_TAGS), F.lit(False))
     return F.struct(
-        F.when(acronym, low).otherwise(lemma).alias("word"),
+        F.when(acronym, low).otherwise(F.lower(F.coalesce(lemma, token))).alias("word"),
         F.when((F.length(token) > 2) & plain, tag).alias("tag"),
         (acronym | ((F.length(token) >= 2) & plain & ~stop & tagged)).alias("keep"),
     )

@@ -16,40 +16,16 @@ def _no_words() -> Column:
     return F.array().cast("array<string>")
 
 
-def _best_title(scored: Column) -> Column:
-    """Tokens of the best-scoring title; the earlier one wins a tie, null when none scores."""
-    best = F.array_max(scored)
-    return F.when(best["score"] > 0, best["tokens"])
-
-
 def title_keywords(url: Column, stop_words: list[str], max_keywords: int = 10) -> Column:
     """Keywords of a URL without a lexicon: one expression, no shuffle."""
-    scored = F.transform(
-        F.transform(
-            urls.title_candidates(url),
-            lambda title: F.transform(words.tokens(title), lambda t: words.describe(t, stop_words)),
-        ),
-        lambda described, i: F.struct(
-            words.title_score(described).alias("score"), (-i).alias("order"), described.alias("tokens")
-        ),
-    )
-    return F.coalesce(words.pick_keywords(_best_title(scored), max_keywords), _no_words())
+    best = words.best_noun_title(urls.title_candidates(url), stop_words)
+    return F.coalesce(words.noun_keywords(best["tokens"], max_keywords), _no_words())
 
 
 def title_segment(url: Column, stop_words: list[str]) -> Column:
     """The cleaned path segment that reads most like a title, '' when there is none."""
-    scored = F.transform(
-        urls.title_candidates(url),
-        lambda title, i: F.struct(
-            words.title_score(
-                F.transform(words.tokens(title), lambda t: words.describe(t, stop_words))
-            ).alias("score"),
-            (-i).alias("order"),
-            title.alias("title"),
-        ),
-    )
-    best = F.array_max(scored)
-    return F.coalesce(F.when(best["score"] > 0, best["title"]), F.lit(""))
+    best = words.best_noun_title(urls.title_candidates(url), stop_words)
+    return F.coalesce(best["title"], F.lit(""))
 
 
 def lexicon_keywords(df: DataFrame, url_col: str, lexicon: DataFrame, stop_words: list[str],
@@ -115,7 +91,7 @@ def rank_keywords(df: DataFrame, keywords_col: str = "Keywords", order: Column |
     """
     order = F.lit(0) if order is None else order
     return (
-        df.select(order.alias("rank"), F.posexplode(keywords_col).alias("pos", "keyword"))
+        df.select(order.alias("rank"), F.posexplode(F.coalesce(keywords_col, _no_words())).alias("pos", "keyword"))
         .groupBy("keyword")
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rank", "pos")).alias("first_seen"))
         .orderBy(F.desc("n"), "first_seen", "keyword")

@@ -30,9 +30,9 @@ def read_envelopes(spark: SparkSession, paths: str | list[str], platform: str, *
 
 
 def parse_envelopes(df: DataFrame, platform: str, json: str = "value") -> DataFrame:
-    """The same parse over a text column."""
+    """The same parse over a text column, in a generator so that each text is parsed once."""
     options = {"mode": "PERMISSIVE"}
-    return df.select(F.from_json(F.col(json), ddl(get_schema(platform)), options).alias("e")).select("e.*")
+    return df.select(F.inline(F.array(F.from_json(F.col(json), ddl(get_schema(platform)), options))))
 
 
 def unnest_hits(envelopes: DataFrame) -> DataFrame:
