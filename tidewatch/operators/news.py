@@ -21,25 +21,26 @@ def _day_key(events: DataFrame) -> tuple[Column, Column]:
     return dates.day_text(F.col("SQLDATE")), F.when(F.col("events") > 0, dates.parse_day(F.col("_day")))
 
 
-def daily_news_rollup(events: DataFrame) -> DataFrame:
-    """Every daily measure in one pass: ``Date, AvgImpact, AvgTone, events, mentions``.
-
-    Events without a valid day belong to no group; see ``sources.events.split_rejects``.
-    """
+def _by_day(events: DataFrame, **measures: Column) -> DataFrame:
+    """``Date, events`` and the measures; events without a valid day belong to no group."""
     key, day = _day_key(events)
     return (
         events.groupBy(key.alias("_day"))
-        .agg(
-            F.avg("GoldsteinScale").alias("AvgImpact"),
-            F.avg("AvgTone").alias("AvgTone"),
-            F.count(F.lit(1)).alias("events"),
-            F.coalesce(F.sum("NumMentions"), F.lit(0)).alias("mentions"),
-        )
-        .select(day.alias("Date"), "AvgImpact", "AvgTone", "events", "mentions")
+        .agg(F.count(F.lit(1)).alias("events"), *(m.alias(name) for name, m in measures.items()))
+        .select(day.alias("Date"), "events", *measures)
         .where(F.col("Date").isNotNull())
     )
 
 
+def _mentions() -> Column:
+    return F.coalesce(F.sum("NumMentions"), F.lit(0))
+
+
+def daily_news_rollup(events: DataFrame) -> DataFrame:
+    """Every daily measure in one pass: ``Date, events, AvgImpact, AvgTone, mentions``."""
+    return _by_day(events, AvgImpact=F.avg("GoldsteinScale"), AvgTone=F.avg("AvgTone"), mentions=_mentions())
+
+
 def insights_of(rollup: DataFrame) -> DataFrame:
     return rollup.select("Date", "AvgImpact", "AvgTone", F.col("events").alias("NumMentions")).orderBy("Date")
 
@@ -48,10 +49,6 @@ def trend_of(rollup: DataFrame) -> DataFrame:
     return rollup.select("Date", F.col("mentions").alias("NumMentions")).orderBy("Date")
 
 
-def mentions_of(rollup: DataFrame) -> DataFrame:
-    return rollup.select("Date", F.col("mentions").alias("total_mentions"))
-
-
 def daily_insights(events: DataFrame) -> DataFrame:
     """Mean impact and tone per day; ``NumMentions`` is the number of events."""
     return insights_of(daily_news_rollup(events))
@@ -59,12 +56,12 @@ def daily_insights(events: DataFrame) -> DataFrame:
 
 def trend_analysis(events: DataFrame) -> DataFrame:
     """Sum of the mention counts per day."""
-    return trend_of(daily_news_rollup(events))
+    return trend_of(_by_day(events, mentions=_mentions()))
 
 
 def news_daily_mentions(events: DataFrame) -> DataFrame:
     """Mentions per day: the news side of the day-by-day pairing."""
-    return mentions_of(daily_news_rollup(events))
+    return _by_day(events, total_mentions=_mentions()).drop("events")
 
 
 def geo_analysis(events: DataFrame) -> DataFrame:
