@@ -91,8 +91,10 @@ def test_files_become_tables_and_tables_become_derived_tables(spark, feed, tmp_p
     loaded = refresh.load_events(spark, str(feed / "*.CSV"), root)
     assert [(s.table, s.rows, s.ok) for s in loaded] == [
         ("events_read", 8, True), ("events", 6, True), ("event_rejects", 2, True)]
-    assert refresh.load_posts(spark, str(feed / "*.json"), root)[:3] == ("posts", 2, True)
-    stored_events, stored_posts = spark.read.parquet(f"{root}/events"), spark.read.parquet(f"{root}/posts")
+    assert [(s.table, s.rows) for s in refresh.load_posts(spark, str(feed / "*.json"), root)] == [
+        ("truth_social_read", 0), ("tiktok_video_read", 1), ("vk_read", 1), ("posts", 2)]
+    assert {r["reject_reason"] for r in refresh.stored_rejects(spark, root).collect()} == {"bad_date"}
+    stored_events, stored_posts = refresh.stored_events(spark, root), spark.read.parquet(f"{root}/posts")
     statuses, ranking = refresh.refresh_all(stored_events, stored_posts, root, stop_words=[])
     assert refresh.succeeded(statuses)
     assert {s.table: s.rows for s in statuses} == {
@@ -112,7 +114,7 @@ def test_loading_by_file_is_idempotent_and_appending_is_not(spark, feed, tmp_pat
         root = str(tmp_path / f"out_{by_file}")
         for _ in range(2):
             refresh.load_events(spark, str(feed / "*.CSV"), root, by_file=by_file)
-        assert spark.read.parquet(f"{root}/events").count() == expected
+        assert refresh.stored_events(spark, root).count() == expected
 
 
 def test_empty_tables_fail_but_for_the_mentions(spark, tmp_path):

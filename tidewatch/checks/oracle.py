@@ -118,12 +118,10 @@ def _titles(source: str, key: str, url: str) -> str:
 
 
 def _words(lexicon: str | None = None) -> str:
-    tag = "case when worded and not stop then 'NOUN' end"
-    lemma, source = "token", "flags"
+    tag, lemma, source = "case when worded and not stop then 'NOUN' end", "flags.token", "flags"
     if lexicon:
-        tag, lemma = f"coalesce(l.pos, {tag})", "coalesce(l.lemma, token)"
+        tag, lemma = f"coalesce(l.pos, {tag})", "coalesce(l.lemma, flags.token)"
         source = f"flags left join ({lexicon}) l on l.token = lower(flags.token)"
-        lemma = lemma.replace("token)", "flags.token)")
     return rf"""title_rows as (
     select id, unnest(titles) as title, generate_subscripts(titles, 1) as seg from titled),
     token_lists as (select *, regexp_extract_all(title, '{TOKEN_PATTERN.replace("'", "''")}') as tokens from title_rows),
@@ -136,7 +134,7 @@ def _words(lexicon: str | None = None) -> str:
     from token_rows),
     tagged as (
     select id, seg, title, flags.pos as place, flags.token, stop, worded, numeric, acronym, {tag} as tag,
-           lower(case when acronym then flags.token else {lemma.replace('token', 'flags.token') if not lexicon else lemma} end) as word
+           lower(case when acronym then flags.token else {lemma} end) as word
     from {source}),
     scored as (
     select id, seg, title, count(*) as n,
@@ -168,21 +166,17 @@ TOP = """top_news as (
     order by TotalMentions desc nulls last, GlobalEventID limit {n})"""
 
 
-def _ranking(events: str) -> str:
-    """Keyword counts over ``events`` in their order of total mentions or, without those, of id."""
-    total = "e.TotalMentions desc nulls last, " if events == "top_news" else ""
-    return f"""placed as (
-    select GlobalEventID, row_number() over (order by {total}GlobalEventID) as rank from {events} e),
+RANKING = """placed as (
+    select GlobalEventID, row_number() over (order by TotalMentions desc nulls last, GlobalEventID) as rank
+    from top_news),
     ranking as (
     select word as keyword, count(*) as n, min(rank * 1000 + place) as first_seen
     from kept join placed on id = GlobalEventID group by 1)"""
 
-
-TOP20 = (TOP.format(n=20), _titles("top_news", "GlobalEventID", "SOURCEURL"), _words(), _ranking("top_news"))
+TOP20 = (TOP.format(n=20), _titles("top_news", "GlobalEventID", "SOURCEURL"), _words(), RANKING)
 
 # Posts -------------------------------------------------------------------------------------
 
-STRIPPED = "list_distinct(list_transform(list_filter(string_split(content, ' '), lambda w: w[1] = '#'), lambda w: w[2:]))"
 TAGS = "'tag' || cast(regexp_extract(content, '#tag([0-9]+)', 1) as varchar) || '|' || split_part(content, ' ', 2)"
 HASHED = "'#tag' || cast(regexp_extract(content, '#tag([0-9]+)', 1) as varchar) || '|#' || split_part(content, ' ', 2)"
 WRITTEN = f"case when likes_count % 97 = 0 then null else strftime(created_at, '{SECOND}') end"
@@ -198,10 +192,9 @@ def _post(platform: str, more: str, *, created: str = f"strftime(created_at, '{S
 WINDOW = "timestamp '2024-01-01' + to_days(cast(3 * floor(date_diff('second', timestamp '2024-01-01', created_at) / 259200) as int))"
 
 HASHTAGS = """tag_rows as (
-    select unnest([regexp_extract(content, '#(tag[0-9]+)', 1), split_part(content, ' ', 2)]) as keyword,
-           unnest([0, 1]) as place from posts),
+    select unnest([regexp_extract(content, '#(tag[0-9]+)', 1), split_part(content, ' ', 2)]) as keyword from posts),
     top_tags as (
-    select keyword from tag_rows group by 1 order by count(*) desc, min(place), keyword limit 3)"""
+    select keyword from tag_rows group by 1 order by count(*) desc, keyword limit 3)"""
 
 ORACLE = {
     "daily_insights": _with(INSIGHTS, select=f"""
@@ -310,6 +303,9 @@ ORACLE = {
     "dedup_events": _with(select="""
         select GlobalEventID, SQLDATE, NumMentions + 1 as NumMentions, SOURCEURL from news"""),
     "dedup_posts": _with(select="select Platform, post_id, author_id, likes_count + 1 as likes_count from posts"),
+    "post_hit_counts": _with(select="""
+        select post_id as file_name, shares_count as total_hits, 1 as held_hits, shares_count > 1 as truncated
+        from posts"""),
     "daily_file_plan": f"""
         select o_orderstatus, strftime(d, '{DAY}') as "day", strftime(d, '%Y%m%d') || '.export.CSV' as file_name
         from (select o_orderstatus, unnest(generate_series(cast(min(o_orderdate) as timestamp),
@@ -335,7 +331,8 @@ ORACLE = {
     "url_keywords_lexicon": _keywords("news", "GlobalEventID", "SOURCEURL", fx.LEXICON),
     "page_url_keywords": _keywords("pages", "page_id", "url"),
     "keyword_ranking_all_urls": _with(
-        _titles("news", "GlobalEventID", "SOURCEURL"), _words(), _ranking("news"), select="select keyword, n from ranking"),
+        _titles("news", "GlobalEventID", "SOURCEURL"), _words(),
+        select="select word as keyword, count(*) as n from kept group by 1"),
     "search_term": _with(*TOP20, select="""
         select coalesce(string_agg('"' || keyword || '"', ' OR ' order by n desc, first_seen), '*') as term
         from (select * from ranking order by n desc, first_seen limit 3)"""),

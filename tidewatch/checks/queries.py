@@ -375,6 +375,16 @@ def dedup_posts(spark, folder):
     return dedup.dedup_posts(again.unionByName(first)).select("Platform", "post_id", "author_id", "likes_count")
 
 
+@query
+def post_hit_counts(spark, folder):
+    """The announced total is the share count, against the one hit each result holds."""
+    posts = fx.posts(spark, folder)
+    hit = F.struct(F.struct(F.col("post_id").alias("id")).alias("_source"))
+    hits = F.struct(F.struct(F.col("shares_count").alias("value")).alias("total"), F.array(hit).alias("hits"))
+    texts = posts.select(F.to_json(F.struct(hits.alias("hits"))).alias("value"), F.col("post_id").alias("file_name"))
+    return post_source.hit_counts(post_source.parse_envelopes(texts, "tiktok_video", keep=["file_name"]))
+
+
 @query
 def daily_file_plan(spark, folder):
     bounds = fx.table(spark, folder, "orders").groupBy("o_orderstatus").agg(
@@ -435,7 +445,7 @@ def page_url_keywords(spark, folder):
 @query
 def keyword_ranking_all_urls(spark, folder):
     found = keywords.extract_keywords(fx.news(spark, folder).select("GlobalEventID", "SOURCEURL"), **WORDS)
-    return keywords.rank_keywords(found, order=F.col("GlobalEventID")).select("keyword", "n")
+    return keywords.rank_keywords(found)
 
 
 @query

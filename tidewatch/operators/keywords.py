@@ -34,12 +34,16 @@ def lexicon_keywords(df: DataFrame, url_col: str, lexicon: DataFrame, stop_words
 
     Working on distinct URLs keeps a URL that many rows share to a single unit of
     work. The lexicon join carries no hint: Catalyst broadcasts it when its measured
-    size allows and otherwise sort-merges, where AQE splits hot tokens.
+    size allows and otherwise sort-merges. For that case either side of a join here is
+    grouped by more than the join key, so that it is shuffled once more for the join:
+    AQE splits a hot token or URL only between two such shuffles.
     """
     entries = (
         lexicon.where(F.col("token").isNotNull())
-        .groupBy(F.lower("token").alias("low"))
-        .agg(F.min(F.struct("pos", "lemma")).alias("entry"))
+        .select(F.lower("token").alias("low"), F.struct("pos", "lemma").alias("entry"))
+        .groupBy(F.xxhash64("low").alias("_hash"), "low")
+        .agg(F.min("entry").alias("entry"))
+        .drop("_hash")
     )
     found = (
         df.where(F.col(url_col).isNotNull())
@@ -78,23 +82,25 @@ def extract_keywords(df: DataFrame, url_col: str = "SOURCEURL", max_keywords: in
     if lexicon is None:
         return df.withColumn(out, title_keywords(F.col(url_col), stops, max_keywords))
     keyed = lexicon_keywords(df, url_col, lexicon, stops, max_keywords, out)
-    # Grouped by (hash, url) above, joined by url here: both join sides are then plain
-    # shuffles, the form in which AQE can split a URL that many rows share.
     return df.join(keyed, url_col, "left").withColumn(out, F.coalesce(out, _no_words()))
 
 
 def rank_keywords(df: DataFrame, keywords_col: str = "Keywords", order: Column | None = None) -> DataFrame:
-    """``(keyword, n, first_seen)`` by falling count; ties by first appearance under ``order``.
+    """``(keyword, n)`` by falling count, then by word.
 
-    Counting is a partial aggregate before the shuffle, so a keyword on every row costs
-    one row per task.
+    With ``order``, ties go by first appearance under it instead, kept as ``first_seen``.
+    Counting combines before the shuffle: a keyword on every row costs one row per task.
     """
-    order = F.lit(0) if order is None else order
+    # The coalesce keeps Catalyst from filtering by, and so computing, the keywords twice.
+    listed = F.posexplode(F.coalesce(keywords_col, _no_words())).alias("pos", "keyword")
+    if order is None:
+        counts = df.select(listed).groupBy("keyword").agg(F.count(F.lit(1)).alias("n"))
+        return counts.orderBy(F.desc("n"), "keyword")
     return (
-        df.select(order.alias("rank"), F.posexplode(F.coalesce(keywords_col, _no_words())).alias("pos", "keyword"))
+        df.select(order.alias("rank"), listed)
         .groupBy("keyword")
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rank", "pos")).alias("first_seen"))
-        .orderBy(F.desc("n"), "first_seen", "keyword")
+        .orderBy(F.desc("n"), "first_seen")
     )
 
 

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators import correlation, news, social
 from tidewatch.operators.keywords import extract_keywords
-from tidewatch.schemas import PLATFORMS
+from tidewatch.operators.normalize import normalize, union_posts
+from tidewatch.schemas import CORRUPT_COLUMN, PLATFORMS
 from tidewatch.session import cut_lineage
 from tidewatch.sinks.tables import (
     Status, append_rows, replace_partitions, replace_table, write_status,
@@ -27,37 +28,57 @@ RANKED_EVENTS = 20
 
 
 def load_events(spark: SparkSession, paths: str | list[str], root: str, *, by_file: bool = False) -> list[Status]:
-    """Day files into ``events`` and ``event_rejects``.
+    """Day files into the event and reject tables, counted and written in one pass.
 
     A repeated load appends its rows again unless ``by_file``, where it replaces those of
     the same files.
     """
     raw = event_source.read_events(spark, paths, keep_corrupt=True)
-    parts = ["event_date"]
+    parts = ["kind", "event_date"]
     if by_file:
         raw = raw.withColumn("source_file", F.col("_metadata.file_name"))
-        parts = ["source_file", "event_date"]
+        parts = ["kind", "source_file", "event_date"]
     raw, read = event_source.counted(raw, "read")
-    good, _ = event_source.split_rejects(event_source.with_audit(raw))
-    _, bad = event_source.split_rejects(event_source.with_audit(raw))
+    rows = event_source.routed(event_source.with_audit(raw))
+    kinds = Observation("kinds")
+    rows = rows.observe(kinds, *(F.count_if(F.col("kind") == k).alias(k) for k in ("events", "rejects")))
     save = replace_partitions if by_file else append_rows
-    loaded = write_status("events", lambda: save(good, f"{root}/events", parts))
-    if not loaded.ok and loaded.error:
-        return [loaded]
-    read_rows = Status("events_read", read.get["rows"], True)
-    reject_parts = ["source_file", "reject_reason"] if by_file else ["reject_reason"]
-    rejected = write_status(
-        "event_rejects", lambda: save(bad, f"{root}/event_rejects", reject_parts), empty_ok=True
-    )
-    return [read_rows, loaded, rejected]
+    written = write_status("events", lambda: save(rows, f"{root}/raw_events", parts), empty_ok=True)
+    if not written.ok:
+        return [written]
+    return [
+        Status("events_read", read.get["rows"], True),
+        Status("events", kinds.get["events"], kinds.get["events"] > 0),
+        Status("event_rejects", kinds.get["rejects"], True),
+    ]
+
+
+def stored_events(spark: SparkSession, root: str) -> DataFrame:
+    return _stored(spark, root, "events").drop(CORRUPT_COLUMN, "reject_reason")
+
+
+def stored_rejects(spark: SparkSession, root: str) -> DataFrame:
+    return _stored(spark, root, "rejects").drop("event_date")
+
+
+def _stored(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/raw_events").where(F.col("kind") == kind).drop("kind")
 
 
 def load_posts(spark: SparkSession, paths: str | list[str], root: str,
-               platforms: list[str] | tuple[str, ...] = PLATFORMS, **options) -> Status:
-    """Post archives into ``posts``, partitioned by platform and day."""
-    posts = post_source.read_posts(spark, paths, platforms, **options)
-    posts = posts.withColumn("post_date", F.to_date("created_at"))
-    return write_status("posts", lambda: append_rows(posts, f"{root}/posts", ["Platform", "post_date"]))
+               platforms: list[str] | tuple[str, ...] = PLATFORMS,
+               options: dict[str, dict] | None = None) -> list[Status]:
+    """Post archives into ``posts``, partitioned by platform and day, with the hits read of each platform."""
+    seen, parts = {}, []
+    for platform in platforms:
+        hits = post_source.unnest_hits(post_source.read_envelopes(spark, paths, platform))
+        hits, seen[platform] = event_source.counted(hits, f"{platform}_read")
+        parts.append(normalize(hits, platform, **(options or {}).get(platform, {})))
+    posts = union_posts(*parts).withColumn("post_date", F.to_date("created_at"))
+    written = write_status("posts", lambda: append_rows(posts, f"{root}/posts", ["Platform", "post_date"]))
+    if written.error:
+        return [written]
+    return [Status(f"{p}_read", s.get["rows"], True) for p, s in seen.items()] + [written]
 
 
 def refresh_news(events: DataFrame, root: str, **keyword_options) -> tuple[list[Status], DataFrame | None]:

@@ -48,21 +48,36 @@ def with_event_date(events: DataFrame) -> DataFrame:
 
 
 def reject_reason(has_corrupt: bool) -> Column:
-    reason = F.when(dates.parse_day(F.col("SQLDATE")).isNull(), "bad_date")
+    reason = F.when(F.col("event_date").isNull(), "bad_date")
     return reason.when(F.col(CORRUPT_COLUMN).isNotNull(), "malformed") if has_corrupt else reason
 
 
-def split_rejects(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(events that have a day, rejects with a ``reject_reason``).
+def routed(events: DataFrame) -> DataFrame:
+    """Every row under the ``kind`` of table it belongs to, ``events`` or ``rejects``.
 
     A malformed line whose date is good stays an event, with nulls where its fields were
-    bad, and is listed among the rejects too.
+    bad, and is a reject as well: it becomes two rows, so one pass over the raw files can
+    write both tables.
     """
     has_corrupt = CORRUPT_COLUMN in events.columns
-    dated = with_event_date(events)
-    good = dated.where(F.col("event_date").isNotNull()).drop(CORRUPT_COLUMN)
-    bad = events.withColumn("reject_reason", reject_reason(has_corrupt)).where(F.col("reject_reason").isNotNull())
-    return good, bad
+    if not has_corrupt:
+        events = events.withColumn(CORRUPT_COLUMN, F.lit(None).cast("string"))
+    reasoned = with_event_date(events).withColumn("reject_reason", reject_reason(has_corrupt))
+    kinds = F.array_compact(F.array(
+        F.when(F.col("event_date").isNotNull(), F.lit("events")),
+        F.when(F.col("reject_reason").isNotNull(), F.lit("rejects")),
+    ))
+    rejected = F.col("kind") == "rejects"
+    return reasoned.withColumn("kind", F.explode(kinds)).withColumns({
+        name: F.when(rejected, F.col(name)) for name in (CORRUPT_COLUMN, "reject_reason")
+    })
+
+
+def split_rejects(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(events that have a day, rejects with a ``reject_reason``)."""
+    rows = routed(events)
+    good = rows.where("kind = 'events'").drop("kind", CORRUPT_COLUMN, "reject_reason")
+    return good, rows.where("kind = 'rejects'").drop("kind", "event_date")
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

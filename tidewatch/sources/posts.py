@@ -29,10 +29,13 @@ def read_envelopes(spark: SparkSession, paths: str | list[str], platform: str, *
     )
 
 
-def parse_envelopes(df: DataFrame, platform: str, json: str = "value") -> DataFrame:
-    """The same parse over a text column, in a generator so that each text is parsed once."""
-    options = {"mode": "PERMISSIVE"}
-    return df.select(F.inline(F.array(F.from_json(F.col(json), ddl(get_schema(platform)), options))))
+def parse_envelopes(df: DataFrame, platform: str, json: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """The same parse over a text column, next to the columns to ``keep``.
+
+    It sits in a generator so that each text is parsed once.
+    """
+    parsed = F.from_json(F.col(json), ddl(get_schema(platform)), {"mode": "PERMISSIVE"})
+    return df.select(*(keep or []), F.inline(F.array(parsed)))
 
 
 def unnest_hits(envelopes: DataFrame) -> DataFrame:
