@@ -30,7 +30,7 @@ def title_segment(url: Column, stop_words: list[str]) -> Column:
 
 def lexicon_keywords(df: DataFrame, url_col: str, lexicon: DataFrame, stop_words: list[str],
                      max_keywords: int = 10, out: str = "Keywords") -> DataFrame:
-    """One row ``(url, keywords)`` per distinct URL that has any, with tags and lemmas from the lexicon.
+    """One row ``(url, keywords)`` per distinct URL that has a title, with tags and lemmas from the lexicon.
 
     Working on distinct URLs keeps a URL that many rows share to a single unit of
     work. The lexicon join carries no hint: Catalyst broadcasts it when its measured
@@ -58,19 +58,18 @@ def lexicon_keywords(df: DataFrame, url_col: str, lexicon: DataFrame, stop_words
             words.describe(F.col("_token"), stop_words, F.col("entry.pos"), F.col("entry.lemma")).alias("_d"),
         )
     )
-    # Both groupings hold the tokens of one URL, so their size is bounded by its length.
-    titles = found.groupBy("_h", "_url", "_seg").agg(F.collect_list(F.struct("_pos", "_d")).alias("_all"))
-    described = F.transform(F.array_sort("_all"), lambda t: t["_d"])
-    scored = (
-        titles.select("_h", "_url", "_seg", described.alias("tokens"))
-        .select("_h", "_url",
-                F.struct(words.title_score(F.col("tokens")).alias("score"),
-                         (-F.col("_seg")).alias("order"), "tokens").alias("scored"))
-        .groupBy("_h", "_url").agg(F.max("scored").alias("best"))
-        .where(F.col("best.score") > 0)
-    )
-    return scored.select(
-        F.col("_url").alias(url_col), words.pick_keywords(F.col("best.tokens"), max_keywords).alias(out)
+    # A group holds the tokens of one URL, so its size is bounded by the URL's length.
+    grouped = found.groupBy("_h", "_url").agg(
+        F.array_sort(F.collect_list(F.struct("_seg", "_pos", "_d"))).alias("all"))
+    segments = F.array_distinct(F.transform("all", lambda t: t["_seg"]))
+    titles = F.transform(segments, lambda seg: F.struct(seg.alias("seg"), F.transform(
+        F.filter("all", lambda t: t["_seg"] == seg), lambda t: t["_d"]).alias("tokens")))
+    scored = F.transform(titles, lambda t: F.struct(
+        words.title_score(t["tokens"]).alias("score"), (-t["seg"]).alias("order"), t["tokens"].alias("tokens")))
+    best = grouped.select("_url", F.array_max(F.filter(scored, lambda s: s["score"] > 0)).alias("best"))
+    return best.select(
+        F.col("_url").alias(url_col),
+        F.coalesce(words.pick_keywords(F.col("best.tokens"), max_keywords), _no_words()).alias(out),
     )
 
 
@@ -91,14 +90,13 @@ def rank_keywords(df: DataFrame, keywords_col: str = "Keywords", order: Column |
     With ``order``, ties go by first appearance under it instead, kept as ``first_seen``.
     Counting combines before the shuffle: a keyword on every row costs one row per task.
     """
-    # The coalesce keeps Catalyst from filtering by, and so computing, the keywords twice.
-    listed = F.posexplode(F.coalesce(keywords_col, _no_words())).alias("pos", "keyword")
+    # The inner generator would have Catalyst filter by, and so compute, the keywords twice.
+    listed = df.select((F.lit(0) if order is None else order).alias("rank"),
+                       F.posexplode_outer(keywords_col).alias("pos", "keyword")).where("keyword is not null")
     if order is None:
-        counts = df.select(listed).groupBy("keyword").agg(F.count(F.lit(1)).alias("n"))
-        return counts.orderBy(F.desc("n"), "keyword")
+        return listed.groupBy("keyword").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "keyword")
     return (
-        df.select(order.alias("rank"), listed)
-        .groupBy("keyword")
+        listed.groupBy("keyword")
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rank", "pos")).alias("first_seen"))
         .orderBy(F.desc("n"), "first_seen")
     )

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 # Semantics every operator relies on: day boundaries in UTC, overflow raises,
-# shuffles re-planned from measured sizes.
+# shuffles re-planned from measured sizes. The tokens of a URL are small groups, of which
+# a task can hash many before it falls back to sorting.
 CORE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 
 # For many executors: start from many small shuffle partitions and let AQE merge
