@@ -87,6 +87,11 @@ def news(spark: SparkSession, folder: str) -> DataFrame:
     return joined.selectExpr(*_columns(NEWS))
 
 
+def news_without_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """The same events for operators that read no URL, which then need no part."""
+    return table(spark, folder, "orders").selectExpr(*_columns({k: v for k, v in NEWS.items() if k != "SOURCEURL"}))
+
+
 def posts(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").selectExpr(*_columns(POSTS))
 

@@ -54,7 +54,7 @@ def joined(name: str) -> Column:
 
 @query
 def daily_insights(spark, folder):
-    return news.daily_insights(fx.news(spark, folder)).select(
+    return news.daily_insights(fx.news_without_urls(spark, folder)).select(
         day(), rounded("AvgImpact"), rounded("AvgTone"), "NumMentions")
 
 
@@ -66,7 +66,7 @@ def geo_analysis(spark, folder):
 
 @query
 def trend_analysis(spark, folder):
-    return news.trend_analysis(fx.news(spark, folder)).select(day(), "NumMentions")
+    return news.trend_analysis(fx.news_without_urls(spark, folder)).select(day(), "NumMentions")
 
 
 @query
@@ -101,7 +101,7 @@ def top_authors_by_platform(spark, folder):
 
 @query
 def news_daily_mentions(spark, folder):
-    return news.news_daily_mentions(fx.news(spark, folder)).select(day(), "total_mentions")
+    return news.news_daily_mentions(fx.news_without_urls(spark, folder)).select(day(), "total_mentions")
 
 
 @query
@@ -111,7 +111,7 @@ def social_daily_engagement(spark, folder):
 
 @query
 def news_social_correlation(spark, folder):
-    return correlation.news_social_correlation(fx.news(spark, folder), fx.posts(spark, folder)).select(
+    return correlation.news_social_correlation(fx.news_without_urls(spark, folder), fx.posts(spark, folder)).select(
         day(), "mentions", "engagement")
 
 
@@ -126,8 +126,8 @@ def platform_engagement_distribution(spark, folder):
 
 @query
 def upsert_by_date(spark, folder):
-    new = correlation.news_social_correlation(fx.news(spark, folder), fx.posts(spark, folder))
-    old = news.daily_news_rollup(fx.news(spark, folder)).select(
+    new = correlation.news_social_correlation(fx.news_without_urls(spark, folder), fx.posts(spark, folder))
+    old = news.daily_news_rollup(fx.news_without_urls(spark, folder)).select(
         F.date_add("Date", 5).alias("Date"), "mentions", F.lit(-1).cast("long").alias("engagement"))
     return correlation.upsert_by_date(old, new).select(day(), "mentions", "engagement")
 
@@ -136,7 +136,7 @@ def upsert_by_date(spark, folder):
 
 @query
 def serve_daily_insights_range(spark, folder):
-    return serving.serve_daily_insights(news.daily_insights(fx.news(spark, folder)), *RANGE).select(
+    return serving.serve_daily_insights(news.daily_insights(fx.news_without_urls(spark, folder)), *RANGE).select(
         "Date", rounded("AvgImpact"), rounded("AvgTone"), "NumMentions")
 
 
@@ -154,7 +154,7 @@ def serve_geo_events_in_range(spark, folder):
 
 @query
 def serve_trend_range(spark, folder):
-    return serving.serve_trend(news.trend_analysis(fx.news(spark, folder)), *RANGE)
+    return serving.serve_trend(news.trend_analysis(fx.news_without_urls(spark, folder)), *RANGE)
 
 
 @query
@@ -182,20 +182,20 @@ def serve_platform_distribution_range(spark, folder):
 
 @query
 def serve_correlation_range(spark, folder):
-    paired = correlation.news_social_correlation(fx.news(spark, folder), fx.posts(spark, folder))
+    paired = correlation.news_social_correlation(fx.news_without_urls(spark, folder), fx.posts(spark, folder))
     return serving.serve_correlation(paired, *RANGE)
 
 
 @query
 def panel_event_impact_and_tone(spark, folder):
     shown = serving.panel(
-        serving.serve_daily_insights(news.daily_insights(fx.news(spark, folder))), "event_impact_and_tone")
+        serving.serve_daily_insights(news.daily_insights(fx.news_without_urls(spark, folder))), "event_impact_and_tone")
     return shown.select("Time", rounded("Average Impact"), rounded("Average Tone"))
 
 
 @query
 def panel_trend(spark, folder):
-    return serving.panel(serving.serve_trend(news.trend_analysis(fx.news(spark, folder))), "trend")
+    return serving.panel(serving.serve_trend(news.trend_analysis(fx.news_without_urls(spark, folder))), "trend")
 
 
 @query
@@ -225,7 +225,7 @@ def panel_platform_distribution(spark, folder):
 
 @query
 def panel_mentions_and_engagement(spark, folder):
-    paired = correlation.news_social_correlation(fx.news(spark, folder), fx.posts(spark, folder))
+    paired = correlation.news_social_correlation(fx.news_without_urls(spark, folder), fx.posts(spark, folder))
     return serving.panel(serving.serve_correlation(paired, *RANGE), "mentions_and_engagement")
 
 
