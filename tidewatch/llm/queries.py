@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, language, toxicity
+from tidewatch.llm import bpe, decontaminate, language, records, toxicity
+from tidewatch.llm.storage import shared_folder
 from tidewatch.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,11 +21,23 @@ def query(function):
     return function
 
 
+@query
+def op1_token_records(spark: SparkSession, folder: str) -> DataFrame:
+    target = shared_folder(spark, "records")
+    records.write_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), target)
+    return records.read(spark, target).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.encode_decode(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")

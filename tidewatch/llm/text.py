@@ -93,6 +93,18 @@ class PrefixHash:
         return mixed((self.sums[ends] - self.sums[begins]) * self._inverse[begins])
 
 
+class SecondHash(PrefixHash):
+    """An independent hash: both together have 128 bits."""
+
+    BASE = 0xD1B54A32D192ED03
+    _powers = np.ones(1, dtype=np.uint64)
+    _inverse = np.ones(1, dtype=np.uint64)
+
+
+def by_two_hashes(symbols: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return PrefixHash(symbols).of(begins, ends), SecondHash(symbols).of(begins, ends)
+
+
 BYTE_CODES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(PrefixHash.BASE))
 
 # Bytes of words for the models: letters a-z after lower-casing, and everything beyond ASCII.
