@@ -8,12 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, decontaminate, language, records, toxicity
+from tidewatch.llm import bpe, decontaminate, language, records, toxicity, warc
 from tidewatch.llm.storage import shared_folder
 from tidewatch.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+ORACLE["op7_warc"] = """
+    select page_id, payload_bytes, payload_digest,
+           case when holder is not null and page_id <> holder then 'revisit' else 'response' end as record_type,
+           case when page_id <> holder then holder end as refers_to
+    from (
+        select page_id, strlen(payload) as payload_bytes, sha1(payload) as payload_digest,
+               case when strlen(payload) >= 1000 then max(page_id) over (partition by payload) end as holder
+        from (select page_id, coalesce(html, '') as payload from pages)
+    )
+"""
 
 
 def query(function):
@@ -33,6 +43,16 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    target = shared_folder(spark, "warc")
+    warc.write_pages(table(spark, folder, "pages"), target)
+    # A revisit has its digest and size in its headers; those of a response are taken from what was read.
+    return warc.read(spark, target).select(
+        "page_id", F.coalesce(F.octet_length("payload").cast("long"), "payload_bytes").alias("payload_bytes"),
+        F.coalesce(F.sha1("payload"), "payload_digest").alias("payload_digest"), "record_type", "refers_to")
+
+
 @query
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_decode(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))

@@ -26,16 +26,16 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tidewatch.llm.bpe import CachedPieces
-from tidewatch.llm.storage import files
+from tidewatch.llm.storage import ManifestWriter, Written, committed, files
 from tidewatch.llm.text import slices, texts
 
 END_TOKEN = 2
@@ -76,17 +76,12 @@ def unframed(data: memoryview) -> Iterator[tuple[int | None, np.ndarray]]:
         at += FRAME + size
 
 
-@dataclass
-class Written(WriterCommitMessage):
-    order: int
-    files: list[dict] = field(default_factory=list)
-
-
-class RecordWriter(DataSourceArrowWriter):
+class RecordWriter(ManifestWriter):
     """Writes (doc_id, ids) rows; ``ids`` are tokens as little-endian unsigned 32-bit numbers."""
 
     def __init__(self, path: str, width: int, file_bytes: int) -> None:
-        self.path, self.width, self.file_bytes = path, width, file_bytes
+        super().__init__(path)
+        self.width, self.file_bytes = width, file_bytes
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         store, folder = files(self.path)
@@ -103,7 +98,7 @@ class RecordWriter(DataSourceArrowWriter):
                 out.close()
                 with store.open_output_stream(f"{folder}/{name}.index") as index:
                     index.write(np.column_stack((offsets, counts)).astype("<u8").tobytes())
-                done.files.append({"name": name, "bytes": size, "records": len(offsets), "tokens": sum(counts)})
+                done.files.append({"name": name, "index": f"{name}.index", "bytes": size, "records": len(offsets), "tokens": sum(counts)})
                 out = None
 
         for batch in iterator:
@@ -124,20 +119,6 @@ class RecordWriter(DataSourceArrowWriter):
         close()
         return done
 
-    def commit(self, messages: list[Written | None]) -> None:
-        store, folder = files(self.path)
-        store.create_dir(folder, recursive=True)
-        found = [f for m in sorted((m for m in messages if m), key=lambda m: m.order) for f in m.files]
-        with store.open_output_stream(f"{folder}/manifest.json") as out:
-            out.write(json.dumps({"files": found}).encode())
-
-    def abort(self, messages: list[Written | None]) -> None:
-        store, folder = files(self.path)
-        for message in messages:
-            for file in message.files if message else []:
-                for name in (file["name"], file["name"] + ".index"):
-                    store.delete_file(f"{folder}/{name}")
-
 
 @dataclass
 class Stretch(InputPartition):
@@ -154,11 +135,8 @@ class RecordReader(DataSourceReader):
         self.path, self.split_bytes = path, split_bytes
 
     def partitions(self) -> list[Stretch]:
-        store, folder = files(self.path)
-        with store.open_input_stream(f"{folder}/manifest.json") as file:
-            found = json.loads(file.read())["files"]
         stretches, start = [], 0
-        for file in found:
+        for file in committed(self.path):
             pieces = -(-file["bytes"] // self.split_bytes)
             if pieces <= 1:
                 stretches.append(Stretch(file["name"], 0, file["records"], start))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
+from dataclasses import dataclass, field
 
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSourceArrowWriter, WriterCommitMessage
 
 
 def shared_folder(spark: SparkSession, kind: str) -> str:
@@ -27,3 +30,37 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
 
 def files(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(uri)
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    """What one writing task leaves: its place in the order and its files."""
+
+    order: int
+    files: list[dict] = field(default_factory=list)
+
+
+class ManifestWriter(DataSourceArrowWriter):
+    """Tasks write files of their own names; a manifest made when all are done names those that count, in order."""
+
+    def __init__(self, path: str) -> None:
+        self.path = path
+
+    def commit(self, messages: list[Written | None]) -> None:
+        store, folder = files(self.path)
+        store.create_dir(folder, recursive=True)
+        found = [f for m in sorted((m for m in messages if m), key=lambda m: m.order) for f in m.files]
+        with store.open_output_stream(f"{folder}/manifest.json") as out:
+            out.write(json.dumps({"files": found}).encode())
+
+    def abort(self, messages: list[Written | None]) -> None:
+        store, folder = files(self.path)
+        for name in [n for m in messages if m for f in m.files for n in (f["name"], f.get("index")) if n]:
+            store.delete_file(f"{folder}/{name}")
+
+
+def committed(path: str) -> list[dict]:
+    """The files that a manifest names."""
+    store, folder = files(path)
+    with store.open_input_stream(f"{folder}/manifest.json") as file:
+        return json.loads(file.read())["files"]
