@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, decontaminate, language, records, toxicity, warc
+from tidewatch.llm import bpe, decontaminate, language, records, toxicity, vectors, warc
 from tidewatch.llm.storage import shared_folder
 from tidewatch.llm.text import table
 
@@ -38,6 +38,11 @@ def op1_token_records(spark: SparkSession, folder: str) -> DataFrame:
     return records.read(spark, target).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op2_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
 @query
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
