@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, decontaminate, language, records, toxicity, vectors, warc
+from tidewatch.llm import bpe, decontaminate, language, ordered, records, toxicity, vectors, warc
 from tidewatch.llm.storage import shared_folder
 from tidewatch.llm.text import table
 
@@ -48,6 +48,11 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op6_ordered_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return ordered.near_duplicates(table(spark, folder, "documents"))
+
+
 @query
 def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
     target = shared_folder(spark, "warc")
