@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, decontaminate, language, ordered, records, suffixes, toxicity, vectors, warc
+from tidewatch.llm import blocks, bpe, decontaminate, language, ordered, records, suffixes, toxicity, vectors, warc
 from tidewatch.llm.storage import shared_folder
 from tidewatch.llm.text import table
 
@@ -48,6 +48,11 @@ def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, folder, "documents"))
 
 
+@query
+def op4_block_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return blocks.remove_repeats(table(spark, folder, "documents"))
+
+
 @query
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
