@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 
 from tidewatch.llm.text import BYTE_CODES, by_two_hashes, joined, slices, spans, texts
 
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 400_000
 SHORT = 48
 WHITE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
 NONE = np.iinfo(np.int32).max
@@ -67,7 +67,7 @@ class PieceTable:
         if 2 * (self.size + len(one)) > len(self.row):
             used = self.row >= 0
             before = self.one[used], self.two[used], self.row[used]
-            self.__init__(int(4 * (self.size + len(one))).bit_length())
+            self.__init__(int(2 * (self.size + len(one))).bit_length())
             self._put(*before)
         self._put(one, two, rows)
 

@@ -6,17 +6,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.session import CORE_CONF
 
 SLICE_BYTES = 1 << 20
+# Rows with texts can be large: a task should hold few of them at once.
+SETTINGS = {key: CORE_CONF[key] for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")} | {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
-        spark.conf.set(key, CORE_CONF[key])
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -36,7 +42,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
     """
     for batch in batches:
         data = batch.column(column).cast(pa.binary())
-        sizes = np.asarray(pa.compute.binary_length(data).fill_null(0))
+        sizes = np.asarray(pc.binary_length(data).fill_null(0))
         ends = np.cumsum(sizes, dtype=np.int64)
         at, rows = 0, batch.num_rows
         while at < rows:

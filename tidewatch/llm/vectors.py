@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -193,7 +194,7 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = THRESHOLD, probes:
                     "error": rows["error"].to_numpy(),
                     "vector": np.frombuffer(b"".join(rows["vector"].to_pylist())).reshape(n, -1)}
 
-        mine = pa.compute.field("member")
+        mine = pc.field("member")
         x, q = table.filter(mine), table.filter(~mine)
         if x.num_rows and q.num_rows:
             ids, links, root = link_block(side(x), side(q), shared.value, key[0].as_py(), threshold)
