@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.text import slices, spans, texts
+from tidewatch.llm.text import slices, spans, texts, unpacked, whole_rows
 
 WINDOW = 13
 # Item text that one automaton may hold; a larger benchmark is split into several, and every text passes all of them.
@@ -195,3 +195,22 @@ def without(text: bytes, hit: np.ndarray) -> str:
     for first, last in zip(*spans(hit)):
         keep[bounds[first]:bounds[last]] = False
     return np.frombuffer(text, dtype=np.uint8)[keep].tobytes().decode()
+
+
+def reject(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, percent: int = 5) -> DataFrame:
+    """The documents, all columns, of which less than ``percent`` of the words are hit."""
+    blocks, schema = item_blocks(benchmark), docs.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automata = [SuffixAutomaton(block, window) for block in blocks]
+        for rows, parts in slices(batches):
+            keep = []
+            for text in parts:
+                found = words(text)
+                hit = np.zeros(len(found), dtype=bool)
+                for automaton in automata:
+                    hit |= automaton.match(found)[0]
+                keep.append(not hit.any() or 100 * int(hit.sum()) < percent * len(found))
+            yield unpacked(rows.column("row").filter(pa.array(keep, pa.bool_())), schema)
+
+    return whole_rows(docs).mapInArrow(run, schema)

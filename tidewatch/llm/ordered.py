@@ -12,8 +12,9 @@ a bucket is lost: all members are aligned with the bucket's first; a member not
 one only where the triangle inequality leaves a link open and they are not connected already; those left go through
 the same with a first member of their own. Documents of equal words are one from the start. Links make components.
 
-Texts without words are near-duplicates of equal texts only; null counts as empty. Equal documents keep the smallest
-id. Rows without an id are alone. An empty table gives no rows.
+Texts without words are near-duplicates of equal texts only; null counts as empty. Each group keeps its smallest id.
+Rows without an id are alone and stay. Of rows that share an id but not the text one stays if they are near-duplicates.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.components import components
 from tidewatch.llm.storage import stored
-from tidewatch.llm.text import BYTE_CODES, PrefixHash, joined, mixed, slices, spans, texts
+from tidewatch.llm.text import BYTE_CODES, PrefixHash, joined, mixed, slices, spans, whole_rows
 
 SHINGLE, THRESHOLD, SKETCHES, MINIMA = 5, 0.8, 16, 3
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -108,10 +109,17 @@ def _sketched(docs: DataFrame) -> DataFrame:
             same = [hashlib.blake2b(b" ".join(t.translate(FOLD).split()) or b"\0" + t, digest_size=16).digest()
                     for t in parts]
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array(same, pa.binary()), pa.array([len(x) for x in found], pa.int32()),
-                 pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "same", "size", "keys"])
+                [rows.column("doc_id"), rows.column("tag"), pa.array(same, pa.binary()),
+                 pa.array([len(x) for x in found], pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["doc_id", "tag", "id", "size", "keys"])
 
-    return stored(texts(docs).mapInArrow(run, "doc_id long, same binary, size int, keys array<long>"), "sketches")
+    return stored(tagged(docs).mapInArrow(run, "doc_id long, tag long, id binary, size int, keys array<long>"), "sketches")
+
+
+def tagged(docs: DataFrame) -> DataFrame:
+    """doc_id and tag together name a text even where ids are repeated."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.select("doc_id", F.xxhash64(text).alias("tag"), text.alias("text"))
 
 
 def _aligned(pairs: DataFrame, candidates: DataFrame, threshold: float) -> DataFrame:
@@ -128,22 +136,22 @@ def _aligned(pairs: DataFrame, candidates: DataFrame, threshold: float) -> DataF
 
     with_a = pairs.join(candidates.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     both = with_a.join(candidates.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, similarity double, bound double")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary, similarity double, bound double")
 
 
-def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, class_id (smallest id of its group), kept."""
+def classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per document: doc_id, tag, class_id (smallest id of its group), kept."""
     sketched = _sketched(docs)
     named = sketched.filter(F.col("doc_id").isNotNull())
-    copies = named.groupBy("same").agg(F.min("doc_id").alias("id"))
-    member = named.select("doc_id", "same").join(copies, "same").select("doc_id", "id").distinct()
-    firsts = named.join(copies.select(F.col("id").alias("doc_id"), "same"), ["doc_id", "same"], "left_semi")
-    keyed = firsts.select(F.col("doc_id").alias("id"), "size", F.explode("keys").alias("bucket")).distinct()
+    # From here on an id stands for all documents of equal words.
+    copies = stored(named.groupBy("id").agg(F.min(F.struct("doc_id", "tag", "size", "keys")).alias("first")).select(
+        "id", "first.*"), "copies")
+    keyed = copies.select("id", "size", F.explode("keys").alias("bucket")).distinct()
     shared = keyed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
     open_ = stored(keyed.join(shared, "bucket"), "buckets")
-    wanted = open_.select("id").distinct()
-    candidates = stored(texts(docs).withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi")
-                        .groupBy("id").agg(F.min("text").alias("text")), "candidates")
+    wanted = copies.join(open_.select("id").distinct(), "id", "left_semi").select("id", "doc_id", "tag")
+    candidates = stored(tagged(docs).join(wanted, ["doc_id", "tag"]).groupBy("id").agg(F.min("text").alias("text")),
+                        "candidates")
     links = None
     while not open_.isEmpty():
         first = open_.groupBy("bucket").agg(F.min(F.struct("id", "size")).alias("first")).select(
@@ -177,9 +185,31 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFra
         # Buckets in which one member is left have nobody to meet.
         several = left.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
         open_ = stored(left.join(several, "bucket").select("bucket", "id", "size"), "buckets")
-    grouped = member.withColumn("component", F.col("id")) if links is None else member.join(
-        components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    result = sketched.select("doc_id").join(grouped.select(F.col("doc_id").alias("m"), "component"),
-                                            F.col("doc_id") == F.col("m"), "left")
-    return result.select("doc_id", F.col("component").alias("class_id"),
-                         F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
+    grouped = copies.select("id", "doc_id", F.col("id").alias("component"))
+    if links is not None:
+        grouped = copies.select("id", "doc_id").join(components(links), "id", "left").withColumn(
+            "component", F.coalesce("component", "id"))
+    heads = grouped.groupBy("component").agg(F.min(F.struct("doc_id", "id")).alias("head"))
+    grouped = grouped.join(heads, "component").select("id", "head")
+    own = F.struct("doc_id", "id")
+    return sketched.select("doc_id", "tag", "id").join(grouped, "id", "left").select(
+        "doc_id", "tag", F.when(F.col("doc_id").isNotNull(), F.col("head.doc_id")).alias("class_id"),
+        F.when(F.col("doc_id").isNotNull(), own == F.col("head")).otherwise(True).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per document: doc_id, class_id, kept."""
+    return classes(docs, threshold=threshold).drop("tag")
+
+
+def deduplicate(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents, all columns, one of each group; rows that are repeated with their id count once."""
+    found = stored(classes(docs, threshold=threshold), "classes")
+    gone = found.filter("not kept").select("doc_id", "tag").distinct()
+    rows = whole_rows(docs, doc_id=F.col("doc_id"), tag=F.xxhash64(F.coalesce("text", F.lit(""))))
+    left = rows.join(gone, ["doc_id", "tag"], "left_anti")
+    kept = found.filter("kept and doc_id is not null").select("doc_id", "tag")
+    if kept.groupBy("doc_id", "tag").count().filter("count > 1").isEmpty():
+        return left.select("row.*")
+    return left.filter("doc_id is null").unionByName(
+        left.filter("doc_id is not null").dropDuplicates(["doc_id", "tag"])).select("row.*")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.storage import stored
-from tidewatch.llm.text import BYTE_CODES, PrefixHash, SecondHash, joined, mixed, slices, spans
+from tidewatch.llm.text import BYTE_CODES, PrefixHash, SecondHash, joined, mixed, slices, spans, unpacked, whole_rows
 
 LENGTH, PREFIX = 400, 64
 GROUP = 1 << 16
@@ -375,3 +375,19 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFI
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return texts.join(found, ["doc", "tag"], "left").select("doc_id", "text", "spans").mapInArrow(
         run, schema + (", clean_text string" if keep_text else ""))
+
+
+def clean(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX, group: int = GROUP) -> DataFrame:
+    """The documents, all columns, without their repeated passages; a text may come out empty."""
+    found = repeated_spans(documents(docs), length=length, prefix=prefix, group=group)
+    schema = docs.schema
+    text = F.coalesce("text", F.lit(""))
+    rows = whole_rows(docs, doc=F.coalesce("doc_id", F.lit(-(1 << 63))), tag=F.xxhash64(text))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, parts in slices(batches):
+            left = [without(t, s)[0].decode(errors="ignore") if s else t.decode()
+                    for t, s in zip(parts, rows.column("spans").to_pylist())]
+            yield unpacked(rows.column("row"), schema, pa.array(left, pa.string()))
+
+    return rows.join(found, ["doc", "tag"], "left").select("row", "text", "spans").mapInArrow(run, schema)

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewatch.session import CORE_CONF
 
@@ -20,9 +21,13 @@ SETTINGS = {key: CORE_CONF[key] for key in ("spark.sql.session.timeZone", "spark
 }
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def settings(spark: SparkSession) -> None:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    settings(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -35,6 +40,22 @@ def held_out() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
 
 
+def whole_rows(docs: DataFrame, **more: F.Column) -> DataFrame:
+    """All columns in one, so that no name of theirs meets ours, and the text, null as empty."""
+    return docs.select(F.struct("*").alias("row"), F.coalesce("text", F.lit("")).alias("text"),
+                       *(column.alias(name) for name, column in more.items()))
+
+
+def unpacked(rows: pa.Array, schema: StructType, new_text: pa.Array | None = None) -> pa.RecordBatch:
+    """The columns of the documents again, with another text and its length where one is given."""
+    columns = dict(zip((f.name for f in rows.type), rows.flatten()))
+    if new_text is not None:
+        columns["text"] = new_text
+        if "n_chars" in columns:
+            columns["n_chars"] = pc.utf8_length(new_text).cast(columns["n_chars"].type)
+    return pa.RecordBatch.from_arrays([columns[n] for n in schema.names], names=schema.names)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Rows of the batches in order, cut so that the texts of a slice hold about ``SLICE_BYTES``.
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.text import BYTE_CODES, FOLD, PrefixHash, held_out, joined, mixed, slices, spans, texts
+from tidewatch.llm.text import BYTE_CODES, FOLD, PrefixHash, held_out, joined, mixed, slices, spans, texts, unpacked, whole_rows
 
 POSITIVES, UNLABELLED, FEATURES, CANDIDATES = 4096, 12288, 1024, 16384
 BITS = 22
@@ -182,3 +182,15 @@ def score(docs: DataFrame, model: Model, *, threshold: float = THRESHOLD) -> Dat
 
     return texts(docs, held_out().alias("held_out")).mapInArrow(
         run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def reject(docs: DataFrame, model: Model, *, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents, all columns, whose score stays below the threshold."""
+    schema = docs.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = model.scorer()
+        for rows, parts in slices(batches):
+            yield unpacked(rows.column("row").filter(pa.array(judge(parts) < threshold)), schema)
+
+    return whole_rows(docs).mapInArrow(run, schema)
