@@ -7,10 +7,11 @@ documents is |alignment| / (n + m - |alignment|) over their labelled shingles, w
 common subsequence, so it falls with edits and with changes of order. Only matches within the band that the threshold
 leaves room for can be part of an alignment that reaches it, and within it the result is exact.
 
-One minus this similarity is a metric. So not all pairs of a bucket have to be aligned, and still no link that shows in
-a bucket is lost: all members are aligned with the bucket's first; a member not linked to it is aligned with a linked
-one only where the triangle inequality leaves a link open and they are not connected already; those left go through
-the same with a first member of their own. Documents of equal words are one from the start. Links make components.
+No pair of a bucket that has a link is lost, and still not all are aligned: every member is aligned with the bucket's
+first, another one in each bucket, which connects most of what belongs together. In buckets whose members are not all
+connected then, those outside the largest connected part are compared with all members of other parts, block by block:
+shared shingles bound the similarity, and pairs whose bound reaches the threshold are aligned until the parts are one.
+Documents of equal words are one from the start. Links make components.
 
 Texts without words are near-duplicates of equal texts only; null counts as empty. Each group keeps its smallest id.
 Rows without an id are alone and stay. Of rows that share an id but not the text one stays if they are near-duplicates.
@@ -33,6 +34,8 @@ from tidewatch.llm.storage import stored
 from tidewatch.llm.text import BYTE_CODES, PrefixHash, joined, mixed, slices, spans, whole_rows
 
 SHINGLE, THRESHOLD, SKETCHES, MINIMA = 5, 0.8, 16, 3
+# Members of a bucket that a task compares with as many others.
+BLOCK = 1024
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -77,13 +80,13 @@ def sketches(shingles: np.ndarray) -> np.ndarray:
     return key
 
 
-def alignment(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> tuple[float, float]:
-    """(similarity or 0 where it is below the threshold, an upper bound of the similarity)."""
+def alignment(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
+    """The similarity, or 0 where it is below the threshold."""
     total = len(a) + len(b)
     _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
     bound = len(at_a) / (total - len(at_a)) if total else 0.0
     if bound < threshold:
-        return 0.0, bound
+        return 0.0
     band = total * (1 - threshold) / (1 + threshold) + 1
     near = np.abs(at_a - at_b) <= band
     order = np.argsort(at_a[near])
@@ -97,7 +100,7 @@ def alignment(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> tup
             tails[at:at + 1] = [x]
         length = len(tails)
     similarity = length / (total - length)
-    return (similarity, similarity) if similarity >= threshold else (0.0, bound)
+    return similarity if similarity >= threshold else 0.0
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
@@ -123,7 +126,7 @@ def tagged(docs: DataFrame) -> DataFrame:
 
 
 def _aligned(pairs: DataFrame, candidates: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, similarity, bound) of pairs (a, b) of candidates."""
+    """(a, b, similarity) of pairs (a, b) of candidates."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, left in slices(batches, "text_a"):
             right = [x.encode() for x in rows.column("text_b").to_pylist()]
@@ -131,12 +134,71 @@ def _aligned(pairs: DataFrame, candidates: DataFrame, threshold: float) -> DataF
             known = {x: y for x, y in zip(dict.fromkeys(right), sequences(list(dict.fromkeys(right))))}
             found = [alignment(a, known[b], threshold) for a, b in zip(sequences(left), right)]
             yield pa.RecordBatch.from_arrays(
-                [rows.column("a"), rows.column("b"), pa.array([x for x, _ in found], pa.float64()),
-                 pa.array([y for _, y in found], pa.float64())], names=["a", "b", "similarity", "bound"])
+                [rows.column("a"), rows.column("b"), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
 
     with_a = pairs.join(candidates.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     both = with_a.join(candidates.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary, similarity double, bound double")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary, similarity double")
+
+
+def _apart(open_: DataFrame, joined: DataFrame) -> DataFrame:
+    """(bucket, a, b, id, component, asks): buckets whose members are not all connected, in blocks.
+
+    Members outside the bucket's largest component ask all others; pairs within that component need no look. Askers
+    are cut into blocks ``a``, all members into blocks ``b``, and every pair of blocks is a task of its own.
+    """
+    named = open_.join(joined, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    sizes = named.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"),
+                                          F.count("*").alias("parts")).filter("parts > 1")
+    blocks = largest.select("bucket", F.col("top.component").alias("main"), F.ceil(F.col("n") / BLOCK).alias("nb"),
+                            F.ceil((F.col("n") - F.col("top.n")) / BLOCK).alias("na"))
+    rows = named.join(blocks, "bucket").withColumn("spread", F.xxhash64("id"))
+    each = ["bucket", "a", "b", "id", "component", "asks"]
+    asking = rows.filter("component <> main").withColumns(
+        {"a": F.pmod("spread", "na"), "b": F.explode(F.sequence(F.lit(0), F.col("nb") - 1)), "asks": F.lit(True)})
+    asked = rows.withColumns(
+        {"b": F.pmod("spread", "nb"), "a": F.explode(F.sequence(F.lit(0), F.col("na") - 1)), "asks": F.lit(False)})
+    return asking.select(*each).union(asked.select(*each))
+
+
+def _compared(apart: DataFrame, candidates: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between members that were not connected yet: at least one for each pair of components that has one."""
+    def compare(table: pa.Table) -> pa.Table:
+        asks = np.array(table["asks"].to_pylist(), dtype=bool)
+        ids, found = table["id"].to_pylist(), sequences([t.encode() for t in table["text"].to_pylist()])
+        names = {c: i for i, c in enumerate(dict.fromkeys(table["component"].to_pylist()))}
+        parent = list(range(len(names)))
+        part = [names[c] for c in table["component"].to_pylist()]
+
+        def root(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = i = parent[parent[i]]
+            return i
+
+        members = np.flatnonzero(~asks)
+        sizes = np.array([len(found[i]) for i in members], dtype=np.int64)
+        values = np.concatenate([found[i] for i in members]) if len(members) else np.zeros(0, dtype=np.uint64)
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], np.repeat(np.arange(len(members)), sizes)[order]
+        links = []
+        for i in np.flatnonzero(asks):
+            low, high = np.searchsorted(values, found[i], side="left"), np.searchsorted(values, found[i], side="right")
+            counts = high - low
+            at = np.repeat(low - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+            common = np.bincount(owner[at], minlength=len(members))
+            bound = common / np.maximum(len(found[i]) + sizes - common, 1)
+            near = np.flatnonzero(bound >= threshold)
+            for j in near[np.argsort(-bound[near], kind="stable")]:
+                one, two = root(part[i]), root(part[members[j]])
+                if one != two and alignment(found[i], found[members[j]], threshold):
+                    parent[one] = two
+                    links.append((ids[i], ids[members[j]]))
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return apart.join(candidates, "id").select("bucket", "a", "b", "id", "component", "asks", "text").groupBy(
+        "bucket", "a", "b").applyInArrow(compare, "a binary, b binary")
 
 
 def classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
@@ -152,43 +214,16 @@ def classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     wanted = copies.join(open_.select("id").distinct(), "id", "left_semi").select("id", "doc_id", "tag")
     candidates = stored(tagged(docs).join(wanted, ["doc_id", "tag"]).groupBy("id").agg(F.min("text").alias("text")),
                         "candidates")
-    links = None
-    while not open_.isEmpty():
-        first = open_.groupBy("bucket").agg(F.min(F.struct("id", "size")).alias("first")).select(
-            "bucket", F.col("first.id").alias("b"), F.col("first.size").alias("size_b"))
-        rest = stored(open_.join(first, "bucket").filter("id <> b"), "rest")
-        alike = F.least("size", "size_b") >= threshold * F.greatest("size", "size_b")
-        pairs = rest.filter(alike).select(F.col("id").alias("a"), "b").distinct()
-        # Sizes too far apart: the similarity cannot exceed their quotient.
-        quotient = F.least("size", "size_b") / F.greatest("size", "size_b")
-        measured = stored(_aligned(pairs, candidates, threshold), "aligned")
-        rest = rest.join(measured, (F.col("id") == measured.a) & (rest.b == measured.b), "left").select(
-            "bucket", "id", "size", rest.b, F.coalesce("similarity", F.lit(0.0)).alias("similarity"),
-            F.coalesce("bound", quotient).alias("bound"))
-        rest = stored(rest, "rest")
-        got = measured.filter(F.col("similarity") >= threshold).select("a", "b")
-        links = got if links is None else links.union(got)
-        left = rest.filter("similarity = 0")
-        if not left.isEmpty():
-            group = components(links)
-            linked = rest.filter("similarity > 0").select("bucket", F.col("id").alias("x"), F.col("similarity").alias("near"))
-            # 1 - s(left, linked) >= (1 - s(left, first)) - (1 - s(linked, first))
-            open_pairs = (left.filter(F.col("bound") >= 2 * threshold - 1)
-                          .join(linked, "bucket").filter(F.col("near") - F.col("bound") <= 1 - threshold)
-                          .select("id", "x").distinct())
-            across = (open_pairs.join(group.select(F.col("id"), F.col("component").alias("one")), "id", "left")
-                      .join(group.select(F.col("id").alias("x"), F.col("component").alias("two")), "x", "left")
-                      .filter(~F.coalesce("one", "id").eqNullSafe(F.coalesce("two", "x"))))
-            more = stored(_aligned(across.select(F.col("id").alias("a"), F.col("x").alias("b")), candidates, threshold),
-                          "aligned")
-            links = links.union(more.filter(F.col("similarity") >= threshold).select("a", "b"))
-        # Buckets in which one member is left have nobody to meet.
-        several = left.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-        open_ = stored(left.join(several, "bucket").select("bucket", "id", "size"), "buckets")
-    grouped = copies.select("id", "doc_id", F.col("id").alias("component"))
-    if links is not None:
-        grouped = copies.select("id", "doc_id").join(components(links), "id", "left").withColumn(
-            "component", F.coalesce("component", "id"))
+    # Any member may be first, another one in each bucket, so that a family is tied together from many sides.
+    first = open_.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("id", "bucket"), "id", "size")).alias("first")).select(
+        "bucket", F.col("first.id").alias("b"), F.col("first.size").alias("size_b"))
+    pairs = open_.join(first, "bucket").filter((F.col("id") != F.col("b")) & (
+        F.least("size", "size_b") >= threshold * F.greatest("size", "size_b"))).select(F.col("id").alias("a"), "b").distinct()
+    links = stored(_aligned(pairs, candidates, threshold), "aligned").filter(F.col("similarity") >= threshold).select("a", "b")
+    apart = stored(_apart(open_, components(links)), "apart")
+    links = links.union(stored(_compared(apart, candidates, threshold), "compared"))
+    grouped = copies.select("id", "doc_id").join(components(links), "id", "left").withColumn(
+        "component", F.coalesce("component", "id"))
     heads = grouped.groupBy("component").agg(F.min(F.struct("doc_id", "id")).alias("head"))
     grouped = grouped.join(heads, "component").select("id", "head")
     own = F.struct("doc_id", "id")
