@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from tidewatch.session import CORE_CONF
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 # Rows with texts can be large: a task should hold few of them at once.
 SETTINGS = {key: CORE_CONF[key] for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")} | {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
