@@ -5,7 +5,7 @@ delete that boundary, refresh the two ranks beside it, until no rank is left. Wo
 steps together, each losing one boundary a step, so the arrays stay dense. Longer words keep their boundaries in a
 linked list and their ranks in a heap, which gives the same merges (smallest rank first, leftmost of equals).
 
-Texts are taken apart at ASCII white space first, which no step of the tokenizer crosses, and each distinct piece is
+Texts are taken apart first where no step of the tokenizer crosses, and each distinct piece is
 encoded once per worker as long as the bounded cache holds it. Null texts are empty; empty texts have no tokens and
 decode to the empty string. Special tokens within a text become their own ids, as in the library.
 """
@@ -25,11 +25,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tidewatch.llm.text import BYTE_CODES, by_two_hashes, joined, slices, spans, texts
+from tidewatch.llm.text import BYTE_CODES, by_two_hashes, joined, slices, texts
 
-CACHE_PIECES = 400_000
+CACHE_PIECES = 600_000
 SHORT = 48
-WHITE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+# White space 0, ASCII letters 1, ASCII signs 2, all else 4.
+KINDS = np.array([0 if c in b" \t\n\v\f\r" else 1 if chr(c).isascii() and chr(c).isalpha()
+                  else 2 if 33 <= c <= 126 and not chr(c).isdigit() and c != ord("'") else 4 for c in range(256)], dtype=np.uint8)
 NONE = np.iinfo(np.int32).max
 
 
@@ -40,6 +42,22 @@ def gathered(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple
     return values[at], ends
 
 
+def pieces_of(data: np.ndarray, whole: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the pieces: cut at white space, and between an ASCII letter and an ASCII sign.
+
+    The tokenizer cuts there too, and no character composes over such a place. The apostrophe is no sign here, as it
+    may begin a contraction, and texts that may hold special tokens (stretches ``whole``) are cut at white space only.
+    """
+    kind = KINDS[data]
+    for begin, end in whole:
+        kind[begin:end][kind[begin:end] > 0] = 4
+    inside = kind > 0
+    cut = np.zeros(len(data) + 1, dtype=bool)
+    cut[1:-1] = kind[1:] + kind[:-1] == 3
+    before, after = np.append(False, inside), np.append(inside, False)
+    return np.flatnonzero(after & (~before | cut)), np.flatnonzero(before & (~after | cut))
+
+
 class PieceTable:
     """Rows of the pieces known so far, by the 128-bit hashes of their bytes: open addressing, many pieces at a time."""
 
@@ -86,7 +104,7 @@ class PieceTable:
 
 
 class CachedPieces:
-    """Ids of texts from ids of their pieces between ASCII white space; a subclass encodes the pieces not yet known."""
+    """Ids of texts from ids of their pieces; a subclass encodes the pieces not yet known."""
 
     def __init__(self) -> None:
         self._forget()
@@ -117,7 +135,7 @@ class CachedPieces:
         if self.known.size > CACHE_PIECES:
             self._forget()
         data, begins = joined([x.lower() if x.isascii() and b"<|" not in x else x for x in parts])
-        first, last = spans(~WHITE[data])
+        first, last = pieces_of(data, [begins[i:i + 2] for i, x in enumerate(parts) if b"<|" in x])
         one, two = by_two_hashes(BYTE_CODES[data], first, last)
         rows = self.known.find(one, two)
         while len(new := np.flatnonzero(rows < 0)):

@@ -117,7 +117,7 @@ class Run:
 
     @staticmethod
     def code(suffixes: list[bytes]) -> tuple[np.ndarray, np.ndarray, bytes]:
-        shared = [0] + [shared_length(a, b) for a, b in zip(suffixes, suffixes[1:])]
+        shared = [0][:len(suffixes)] + [shared_length(a, b) for a, b in zip(suffixes, suffixes[1:])]
         rests = [s[k:] for s, k in zip(suffixes, shared)]
         return np.array(shared, dtype="<u2"), np.array([len(r) for r in rests], dtype="<u2"), b"".join(rests)
 
