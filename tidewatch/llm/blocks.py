@@ -26,12 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.storage import stored
-from tidewatch.llm.text import BYTE_CODES, PrefixHash, SecondHash, joined, slices, spans
+from tidewatch.llm.text import BYTE_CODES, PrefixHash, SecondHash, joined, mixed, slices, spans
 
 WINDOW = 13
 # Text whose probes one task is meant to take in.
 BUCKET_BYTES = 24 << 20
 WHITE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+HIT = np.dtype([("bucket", "<i4"), ("place", "<i4"), ("probe", "?")])
 PACKED = "bucket int, probe boolean, docs binary, tags binary, counts binary, keys binary, more binary"
 
 
@@ -100,7 +101,7 @@ def _gathered(table: pa.Table, probe: bool) -> tuple[np.ndarray, np.ndarray, np.
     return read("keys", "<u4"), np.repeat(read("docs", "<i8"), counts), place.astype(np.int32)
 
 
-def _hits(key: tuple, table: pa.Table) -> pa.Table:
+def _hits(key: tuple, table: pa.Table, groups: int) -> pa.Table:
     """Which probes meet a block of an earlier document, and which blocks a later document meets."""
     value, doc, place = _gathered(table, False)
     probe, by, at = _gathered(table, True)
@@ -114,16 +115,34 @@ def _hits(key: tuple, table: pa.Table) -> pa.Table:
     np.maximum.at(latest, where[found], by[found])
     found[found] = earliest[where[found]] < by[found]
     met = np.repeat(latest, np.diff(np.append(new, len(value)))) > doc
-    out = []
-    for kind, owner, places in ((True, by[found], at[found]), (False, doc[met], place[met])):
-        order = np.lexsort((places, owner))
-        owner, places = owner[order], places[order].astype("<i4")
-        begins = np.flatnonzero(np.diff(owner, prepend=owner[0] - 1)) if len(owner) else []
-        out += [(key[0].as_py(), kind, int(owner[i]), places[i:j].tobytes())
-                for i, j in zip(begins, [*begins[1:], len(owner)])]
-    columns = list(zip(*out)) or [[]] * 4
-    return pa.table({"bucket": pa.array(columns[0], pa.int32()), "probe": pa.array(columns[1], pa.bool_()),
-                     "doc_id": pa.array(columns[2], pa.int64()), "places": pa.array(columns[3], pa.binary())})
+    owner = np.concatenate((by[found], doc[met]))
+    hits = np.empty(len(owner), dtype=HIT)
+    hits["bucket"], hits["place"] = key[0].as_py(), np.concatenate((at[found], place[met]))
+    hits["probe"] = np.arange(len(owner)) < int(found.sum())
+    return _routed(owner, np.zeros(len(owner), dtype=np.int64), hits, groups)
+
+
+def _routed(doc: np.ndarray, tag: np.ndarray, values: np.ndarray, groups: int) -> pa.Table:
+    """What a task found out about documents, packed into a row for each group of them."""
+    group = (mixed(doc.view(np.uint64)) % np.uint64(groups)).astype(np.int32)
+    order = np.lexsort((tag, doc, group))
+    doc, tag, values, group = doc[order], tag[order], values[order], group[order]
+    begins = np.flatnonzero(np.diff(group, prepend=-1))
+    ends = np.append(begins[1:], len(group))[:len(begins)]
+    packed = [[x[i:j].tobytes() for i, j in zip(begins, ends)] for x in (doc, tag, values)]
+    return pa.table({"group": pa.array(group[begins], pa.int32()),
+                     **{n: pa.array(x, pa.binary()) for n, x in zip(("docs", "tags", "found"), packed)}})
+
+
+def _assembled(table: pa.Table, kind: np.dtype) -> pa.Table:
+    """One row per document of a group with all that was found out about it."""
+    doc, tag, values = (np.frombuffer(b"".join(table[n].to_pylist()), dtype=k)
+                        for n, k in (("docs", "<i8"), ("tags", "<i8"), ("found", kind)))
+    order = np.lexsort((tag, doc))
+    doc, tag, values = doc[order], tag[order], values[order]
+    begins = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])))[:len(doc)])
+    return pa.table({"doc_id": pa.array(doc[begins], pa.int64()), "tag": pa.array(tag[begins], pa.int64()),
+                     "found": pa.array([values[i:j].tobytes() for i, j in zip(begins, [*begins[1:], len(doc)])], pa.binary())})
 
 
 def _extend(batches: Iterator[pa.RecordBatch], window: int, block: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -136,20 +155,18 @@ def _extend(batches: Iterator[pa.RecordBatch], window: int, block: int, buckets:
         whole = (begin - edges[owner]) % block == 0
         wanted = {True: np.zeros(len(words) + 1, dtype=np.int64), False: np.zeros(len(words) + 1, dtype=np.int64)}
         per_text = np.searchsorted(owner, np.arange(len(parts) + 1))
-        for i, hits in enumerate(rows.column("hits").to_pylist()):
-            mine = np.arange(per_text[i], per_text[i + 1])
+        for i, found in enumerate(rows.column("found").to_pylist()):
+            hits, mine = np.frombuffer(found, dtype=HIT), np.arange(per_text[i], per_text[i + 1])
             for probe in (True, False):
                 those = mine if probe else mine[whole[mine]]
                 order = those[np.argsort(target[those], kind="stable")]
                 cuts = np.searchsorted(target[order], np.arange(buckets + 1))
-                for hit in hits:
-                    if hit["probe"] == probe:
-                        place = np.frombuffer(hit["places"], dtype="<i4")
-                        b = hit["bucket"]
-                        place = place[place < cuts[b + 1] - cuts[b]]
-                        at = begin[order[cuts[b] + place]]
-                        np.add.at(wanted[probe], np.maximum(at + block - window, edges[i]), 1)
-                        np.add.at(wanted[probe], at + 1, -1)
+                bucket, place = (hits[n][hits["probe"] == probe] for n in ("bucket", "place"))
+                # Where ids are repeated, hits of another text may lie beyond this one.
+                inside = place < cuts[bucket + 1] - cuts[bucket]
+                at = begin[order[cuts[bucket[inside]] + place[inside]]]
+                np.add.at(wanted[probe], np.maximum(at + block - window, edges[i]), 1)
+                np.add.at(wanted[probe], at + 1, -1)
         starts, owner = stretches(edges, window)
         one, two = PrefixHash(words), SecondHash(others)
         docs, tags = (rows.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("doc_id", "tag"))
@@ -164,7 +181,7 @@ def _extend(batches: Iterator[pa.RecordBatch], window: int, block: int, buckets:
         yield _batch(out)
 
 
-def _earlier(table: pa.Table) -> pa.Table:
+def _earlier(table: pa.Table, groups: int) -> pa.Table:
     """Windows (as begins per document) that a document with a smaller id has."""
     more = np.dtype([("two", "<u8"), ("at", "<u4")])
 
@@ -197,12 +214,7 @@ def _earlier(table: pa.Table) -> pa.Table:
             open_ = open_[~same]
             at[open_] += 1
             open_ = open_[at[open_] < len(one)]
-    by, tag, begin = by[hit], tag[hit], extra["at"][hit]
-    order = np.lexsort((begin, tag, by))
-    by, tag, begin = by[order], tag[order], begin[order].astype("<u4")
-    cuts = np.flatnonzero(np.concatenate(([True], (by[1:] != by[:-1]) | (tag[1:] != tag[:-1])))[:len(by)])
-    return pa.table({"doc_id": pa.array(by[cuts], pa.int64()), "tag": pa.array(tag[cuts], pa.int64()),
-                     "begins": pa.array([begin[i:j].tobytes() for i, j in zip(cuts, [*cuts[1:], len(by)])], pa.binary())})
+    return _routed(by[hit], tag[hit], extra["at"][hit], groups)
 
 
 def remove_repeats(docs: DataFrame, *, window: int = WINDOW, bucket_bytes: int = BUCKET_BYTES,
@@ -219,22 +231,25 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, bucket_bytes: int =
     first = narrow.groupBy("whole").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
     later = stored(narrow.join(first, "whole").filter("doc_id > first").select("doc_id", "tag").distinct(), "copies")
 
-    hits = stored(known.select("doc_id", "text").mapInArrow(lambda b: _send(b, block, buckets), PACKED)
-                  .groupBy("bucket").applyInArrow(_hits, "bucket int, probe boolean, doc_id long, places binary"), "hits")
-    by_doc = hits.groupBy("doc_id").agg(F.collect_list(F.struct("bucket", "probe", "places")).alias("hits"))
+    # What comes back is packed by groups of documents, so rows do not multiply with the number of buckets.
+    routed, assembled = "group int, docs binary, tags binary, found binary", "doc_id long, tag long, found binary"
+    hits = stored(
+        known.select("doc_id", "text").mapInArrow(lambda b: _send(b, block, buckets), PACKED)
+        .groupBy("bucket").applyInArrow(lambda key, t: _hits(key, t, buckets), routed)
+        .groupBy("group").applyInArrow(lambda t: _assembled(t, HIT), assembled), "hits").drop("tag")
     # Of a document that is a copy as a whole nothing is left to find, and its original stands for it.
-    around = (known.join(by_doc, "doc_id").join(later, ["doc_id", "tag"], "left_anti")
+    around = (known.join(hits, "doc_id").join(later, ["doc_id", "tag"], "left_anti")
               .mapInArrow(lambda b: _extend(b, window, block, buckets), PACKED))
-    gone = stored(around.groupBy("bucket").applyInArrow(_earlier, "doc_id long, tag long, begins binary"), "gone")
-    gone = gone.groupBy("doc_id", "tag").agg(F.collect_list("begins").alias("begins"))
+    gone = stored(around.groupBy("bucket").applyInArrow(lambda t: _earlier(t, buckets), routed)
+                  .groupBy("group").applyInArrow(lambda t: _assembled(t, np.dtype("<u4")), assembled), "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, parts in slices(batches):
             out = []
-            for text, begins, copy in zip(parts, rows.column("begins").to_pylist(), rows.column("copy").to_pylist()):
+            for text, begins, copy in zip(parts, rows.column("found").to_pylist(), rows.column("copy").to_pylist()):
                 words = text.split()
                 edge = np.zeros(len(words) + 1, dtype=np.int64)
-                for begin in (np.frombuffer(b"".join(begins or []), dtype="<u4").astype(np.int64),
+                for begin in (np.frombuffer(begins or b"", dtype="<u4").astype(np.int64),
                               np.arange(max(0, len(words) - window + 1) if copy else 0)):
                     np.add.at(edge, begin, 1)
                     np.add.at(edge, begin + window, -1)
@@ -252,5 +267,5 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, bucket_bytes: int =
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
     return (texts.join(gone, ["doc_id", "tag"], "left")
             .join(later.withColumn("copy", F.lit(True)), ["doc_id", "tag"], "left")
-            .select("doc_id", "text", "begins", F.coalesce("copy", F.lit(False)).alias("copy"))
+            .select("doc_id", "text", "found", F.coalesce("copy", F.lit(False)).alias("copy"))
             .mapInArrow(run, schema + (", clean_text string" if keep_text else "")))
