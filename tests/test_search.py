@@ -65,3 +65,21 @@ def test_copies_of_one_post_spread_over_slices(spark):
     frame = posts(spark, dict()).crossJoin(spark.range(0, 4000, 1, 8)).drop("id")
     sliced = search.capped(frame, ["Platform"], [F.asc("created_at"), F.asc("post_id")], 25, "post_id")
     assert sliced.count() == 25
+
+
+def test_a_limit_beyond_what_spark_ranks_early(spark):
+    """A cap above the threshold of the optimizer's own limit, on a group that exceeds it."""
+    frame = posts(spark, dict()).crossJoin(spark.range(0, 3000, 1, 8)).withColumn("post_id", F.lpad("id", 5, "0")).drop("id")
+    found = ids(search.search_posts(frame, None, *SPAN, limit=1500))
+    assert found == [f"{i:05}" for i in range(1500)]
+    assert search.search_posts(frame, None, *SPAN).count() == 3000
+
+
+def test_a_quotation_mark_of_patterns_within_a_word(spark):
+    frame = posts(spark, dict(post_id="1", content="see a\\E+b now"), dict(post_id="2", content="calm"))
+    assert ids(search.search_posts(frame, ["a\\E+b"], *SPAN)) == ["1"]
+
+
+def test_no_cap_needs_no_shuffle(spark):
+    text = search.search_posts(posts(spark, dict()), ["storm"], *SPAN)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and "Exchange" not in text

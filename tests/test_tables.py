@@ -92,9 +92,9 @@ def test_files_become_tables_and_tables_become_derived_tables(spark, feed, tmp_p
     assert [(s.table, s.rows, s.ok) for s in loaded] == [
         ("events_read", 8, True), ("events", 6, True), ("event_rejects", 2, True)]
     assert [(s.table, s.rows) for s in refresh.load_posts(spark, str(feed / "*.json"), root)] == [
-        ("truth_social_read", 0), ("tiktok_video_read", 1), ("vk_read", 1), ("posts", 2)]
+        ("truth_social_read", 0), ("tiktok_video_read", 1), ("vk_read", 1), ("post_rejects", 0), ("posts", 2)]
     assert {r["reject_reason"] for r in refresh.stored_rejects(spark, root).collect()} == {"bad_date"}
-    stored_events, stored_posts = refresh.stored_events(spark, root), spark.read.parquet(f"{root}/posts")
+    stored_events, stored_posts = refresh.stored_events(spark, root), refresh.stored_posts(spark, root)
     statuses, ranking = refresh.refresh_all(stored_events, stored_posts, root, stop_words=[])
     assert refresh.succeeded(statuses)
     assert {s.table: s.rows for s in statuses} == {
@@ -141,23 +141,106 @@ def test_the_stored_table_is_pruned_by_day(spark, feed, tmp_path):
     assert news.trend_analysis(spark.read.parquet(table)).count() == 2
 
 
-def test_every_new_file_is_ingested_once(spark, feed, tmp_path):
-    table, checkpoint = str(tmp_path / "events"), str(tmp_path / "state")
+def ingested(spark, feed, root, checkpoint, **options):
+    query = ingest.ingest_events(spark, str(feed / "*.CSV"), root, checkpoint, **options)
+    assert query.awaitTermination(240) and query.exception() is None
+    return refresh.stored_events(spark, root).count(), refresh.stored_rejects(spark, root).count()
 
-    def run():
-        query = ingest.ingest_events(spark, str(feed / "*.CSV"), table, checkpoint, files_per_batch=1)
-        assert query.awaitTermination(120)
-        return spark.read.parquet(table)
 
-    assert run().count() == 6 and run().count() == 6
-    write_lines(feed / "20240107.export.CSV", line(GlobalEventID=70, SQLDATE="20240107"))
-    rows = run()
-    assert rows.count() == 7 and rows.select("ingest_batch").distinct().count() == 3
+def test_every_new_file_is_ingested_once_with_its_rejects(spark, feed, tmp_path):
+    root, checkpoint = str(tmp_path / "out"), str(tmp_path / "state")
+    assert ingested(spark, feed, root, checkpoint, files_per_batch=1) == (6, 2)
+    assert ingested(spark, feed, root, checkpoint) == (6, 2)
+    write_lines(feed / "20240107.export.CSV", line(GlobalEventID=70, SQLDATE="20240107"), "cut\toff",
+                line(GlobalEventID="x", SQLDATE="20240107"))
+    assert ingested(spark, feed, root, checkpoint) == (8, 4)
+    reasons = [r["reject_reason"] for r in refresh.stored_rejects(spark, root).collect()]
+    assert sorted(reasons) == ["bad_date", "bad_date", "bad_date", "malformed"]
+    statuses, _ = refresh.refresh_news(refresh.stored_events(spark, root), root, stop_words=[])
+    assert refresh.succeeded(statuses)
+
+
+def test_two_checkpoints_do_not_erase_each_other(spark, feed, tmp_path):
+    root, other = str(tmp_path / "out"), tmp_path / "other"
+    other.mkdir()
+    write_lines(other / "a.export.CSV", line(GlobalEventID=1, SQLDATE="20240105"))
+    assert ingested(spark, feed, root, str(tmp_path / "one")) == (6, 2)
+    assert ingested(spark, other, root, str(tmp_path / "two")) == (7, 2)
 
 
-def test_posts_stream_by_platform(spark, feed, tmp_path):
-    table = str(tmp_path / "posts")
+def test_a_batch_of_undated_lines_passes(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    write_lines(folder / "a.export.CSV", line(GlobalEventID=1, SQLDATE="nope"))
+    root = str(tmp_path / "out")
+    assert ingested(spark, folder, root, str(tmp_path / "state")) == (0, 1)
+    write_lines(folder / "b.export.CSV", line(GlobalEventID=2, SQLDATE="20240105"))
+    assert ingested(spark, folder, root, str(tmp_path / "state")) == (1, 1)
+
+
+def test_posts_stream_by_platform_by_the_same_guard_as_the_batch(spark, feed, tmp_path):
+    (feed / "vk").mkdir()
+    write_hits(feed / "VK_2.json", {"id": "3"})
+    (feed / "vk_3.json").write_text("{cut off")
+    root = str(tmp_path / "out")
     for platform in ("vk", "tiktok_video"):
-        query = ingest.ingest_posts(spark, str(feed), platform, f"{table}/{platform}", str(tmp_path / platform))
-        assert query.awaitTermination(120)
-        assert [r["Platform"] for r in spark.read.parquet(f"{table}/{platform}").collect()] == [platform]
+        query = ingest.ingest_posts(spark, str(feed), platform, root, str(tmp_path / platform))
+        assert query.awaitTermination(240) and query.exception() is None
+    assert sorted((r["Platform"], r["post_id"]) for r in refresh.stored_posts(spark, root).collect()) == [
+        ("tiktok_video", "2"), ("vk", "1"), ("vk", "3")]
+    rejects = spark.read.parquet(f"{root}/post_rejects").collect()
+    assert [(r["Platform"], r["file_name"], r["_corrupt_record"]) for r in rejects] == [("vk", "vk_3.json", "{cut off")]
+
+
+def test_broken_and_truncated_post_files_are_reported(spark, tmp_path):
+    folder, root = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    write_hits(folder / "tiktok_video_1.json", {"id": "1"}, {"id": "2"}, total=5)
+    (folder / "vk_2.json").write_text("{cut off")
+    found = {s.table: (s.rows, s.ok) for s in refresh.load_posts(spark, str(folder / "*.json"), root)}
+    assert found == {"truth_social_read": (0, True), "tiktok_video_read": (2, True), "vk_read": (0, True),
+                     "tiktok_video_truncated": (1, True), "post_rejects": (1, True), "posts": (2, True)}
+    (folder / "tiktok_video_1.json").unlink()
+    only_broken = {s.table: (s.rows, s.ok) for s in refresh.load_posts(spark, str(folder / "*.json"), str(tmp_path / "b"))}
+    assert only_broken["post_rejects"] == (1, True) and only_broken["posts"] == (0, False)
+
+
+def test_a_file_is_replaced_as_a_whole_and_by_its_path(spark, tmp_path):
+    root = str(tmp_path / "out")
+    for name in ("a", "b"):
+        (tmp_path / name).mkdir()
+    first, second = tmp_path / "a" / "x.export.CSV", tmp_path / "b" / "x.export.CSV"
+
+    def load(path, *days_):
+        write_lines(path, *[line(GlobalEventID=d, SQLDATE=f"2024010{d}") for d in days_])
+        refresh.load_events(spark, str(path), root, by_file=True)
+        return sorted(r["GlobalEventID"] for r in refresh.stored_events(spark, root).collect())
+
+    assert load(first, 5, 6) == [5, 6]
+    assert load(first, 5) == [5]
+    assert load(second, 7) == [5, 7]
+    write_hits(tmp_path / "a" / "vk_1.json", {"id": "1"}, {"id": "2"})
+    for _ in range(2):
+        refresh.load_posts(spark, str(tmp_path / "a" / "*.json"), root, by_file=True)
+    assert refresh.stored_posts(spark, root).count() == 2
+
+
+def test_empty_frames_and_files_are_written_as_nothing(spark, tmp_path):
+    none = days(spark, (1, 1)).where("v > 5")
+    assert tables.append_rows(none, str(tmp_path / "t"), ["Date"]) == 0
+    assert tables.replace_partitions(none, str(tmp_path / "t"), ["Date"]) == 0
+    assert tables.append_rows(days(spark, (1, 1)).limit(0), str(tmp_path / "t"), ["Date"]) == 0
+    empty = tmp_path / "empty.export.CSV"
+    empty.write_text("")
+    for by_file in (False, True):
+        statuses = refresh.load_events(spark, str(empty), str(tmp_path / "out"), by_file=by_file)
+        assert [(s.table, s.rows, s.ok) for s in statuses] == [
+            ("events_read", 0, True), ("events", 0, False), ("event_rejects", 0, True)]
+
+
+def test_stored_rows_lie_in_the_order_that_readers_filter_by(spark, feed, tmp_path):
+    root = str(tmp_path / "out")
+    refresh.load_posts(spark, str(feed / "*.json"), root)
+    refresh.load_events(spark, str(feed / "*.CSV"), root)
+    rows = refresh.stored_events(spark, root).where("event_date = date'2024-01-05'").collect()
+    assert [r["GlobalEventID"] for r in rows] == sorted(r["GlobalEventID"] for r in rows)

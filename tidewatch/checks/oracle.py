@@ -291,6 +291,10 @@ ORACLE = {
     "vk_ads_as_sponsored": _with(select="""
         select post_id, marked_as_ads = 1 as is_sponsored, marked_as_ads from posts where Platform = 'vk'"""),
     "hashtags_from_text": _with(select=f"select post_id, {HASHED} as hashtags from posts"),
+    "hashtags_from_documents": """
+        select doc_id, array_to_string(list_sort(list_distinct(list_transform(
+            list_filter(string_split(text, ' '), lambda w: starts_with(w, '#')), lambda w: substr(w, 2)))), '|') as hashtags
+        from documents""",
     "total_engagement": _with(select="""
         select post_id, coalesce(likes_count, 0) + coalesce(shares_count, 0) + coalesce(comments_count, 0) as engagement
         from posts"""),
@@ -340,8 +344,10 @@ ORACLE = {
         select Platform, post_id, content, strftime({WINDOW}, '{SECOND}') as window_start from posts
         where created_at >= timestamp '2024-01-01' and created_at < timestamp '2024-01-31'
           and exists (select 1 from top_tags where list_contains(
-              regexp_extract_all(lower(content), '[a-z0-9]+'), keyword))
-        qualify row_number() over (partition by Platform, window_start order by created_at, post_id) <= 10000"""),
+              regexp_extract_all(lower(content), '[a-z0-9]+'), keyword))"""),
+    "search_posts_uncapped": _with(select=f"""
+        select Platform, post_id, strftime(created_at, '{SECOND}') as created_at, strftime({WINDOW}, '{SECOND}') as window_start
+        from posts where created_at >= timestamp '2024-01-01' and created_at < timestamp '2024-01-31'"""),
     "search_posts_capped": _with(select=f"""
         select Platform, post_id, strftime(created_at, '{SECOND}') as created_at, strftime({WINDOW}, '{SECOND}') as window_start
         from posts where created_at >= timestamp '2024-01-01' and created_at < timestamp '2024-01-31'

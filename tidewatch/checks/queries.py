@@ -444,8 +444,7 @@ def page_url_keywords(spark, folder):
 
 @query
 def keyword_ranking_all_urls(spark, folder):
-    found = keywords.extract_keywords(fx.news(spark, folder).select("GlobalEventID", "SOURCEURL"), **WORDS)
-    return keywords.rank_keywords(found)
+    return keywords.rank_url_keywords(fx.news(spark, folder).select("GlobalEventID", "SOURCEURL"), **WORDS)
 
 
 @query
@@ -464,6 +463,19 @@ def search_posts(spark, folder):
     return found.select("Platform", "post_id", "content", second("window_start"))
 
 
+@query
+def search_posts_uncapped(spark, folder):
+    found = search.search_posts(fx.posts(spark, folder), None, *MONTH)
+    return found.select("Platform", "post_id", second("created_at"), second("window_start"))
+
+
+@query
+def hashtags_from_documents(spark, folder):
+    docs = fx.table(spark, folder, "documents")
+    found = F.array_sort(tags.text_tags(F.col("text"), strip_hash=True))
+    return docs.select("doc_id", F.array_join(found, "|").alias("hashtags"))
+
+
 @query
 def search_posts_capped(spark, folder):
     found = search.search_posts(fx.posts(spark, folder), None, *MONTH, limit=CAP)

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
-_LAST_SECOND = 253402300799  # 9999-12-31T23:59:59Z
+_LAST_SECOND = (1 << 63) // 1_000_000 - 1  # what a count of microseconds in 64 bits holds
 
 Moment = str | dt.date | dt.datetime
 
@@ -29,7 +29,7 @@ def parse_day_strict(sqldate: Column) -> Column:
 
 
 def from_epoch(seconds: Column) -> Column:
-    """Epoch seconds to a timestamp; a value beyond year 9999 is null instead of an overflow."""
+    """Epoch seconds to a timestamp; a value that the type cannot hold is null instead of an overflow."""
     return F.when(seconds.between(-_LAST_SECOND, _LAST_SECOND), F.timestamp_seconds(seconds))
 
 

@@ -25,4 +25,4 @@ def news_social_correlation(events: DataFrame, posts: DataFrame) -> DataFrame:
 
 def upsert_by_date(old: DataFrame, new: DataFrame, key: str = "Date") -> DataFrame:
     """Rows of ``new``, and those of ``old`` whose date ``new`` does not produce."""
-    return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
+    return old.join(new.select(key), key, "left_anti").unionByName(new)

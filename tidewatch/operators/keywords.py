@@ -18,13 +18,13 @@ def _no_words() -> Column:
 
 def title_keywords(url: Column, stop_words: list[str], max_keywords: int = 10) -> Column:
     """Keywords of a URL without a lexicon: one expression, no shuffle."""
-    best = words.best_noun_title(urls.title_candidates(url), stop_words)
+    best = words.best_noun_title(urls.title_candidates(url), [w.lower() for w in stop_words])
     return F.coalesce(words.noun_keywords(best["tokens"], max_keywords), _no_words())
 
 
 def title_segment(url: Column, stop_words: list[str]) -> Column:
     """The cleaned path segment that reads most like a title, '' when there is none."""
-    best = words.best_noun_title(urls.title_candidates(url), stop_words)
+    best = words.best_noun_title(urls.title_candidates(url), [w.lower() for w in stop_words])
     return F.coalesce(best["title"], F.lit(""))
 
 
@@ -39,7 +39,8 @@ def lexicon_keywords(df: DataFrame, url_col: str, lexicon: DataFrame, stop_words
     AQE splits a hot token or URL only between two such shuffles.
     """
     entries = (
-        lexicon.where(F.col("token").isNotNull())
+        # An entry without a part of speech says nothing that could outdo one that has it.
+        lexicon.where(F.col("token").isNotNull() & F.col("pos").isNotNull())
         .select(F.lower("token").alias("low"), F.struct("pos", "lemma").alias("entry"))
         .groupBy(F.xxhash64("low").alias("_hash"), "low")
         .agg(F.min("entry").alias("entry"))
@@ -81,7 +82,17 @@ def extract_keywords(df: DataFrame, url_col: str = "SOURCEURL", max_keywords: in
     if lexicon is None:
         return df.withColumn(out, title_keywords(F.col(url_col), stops, max_keywords))
     keyed = lexicon_keywords(df, url_col, lexicon, stops, max_keywords, out)
-    return df.join(keyed, url_col, "left").withColumn(out, F.coalesce(out, _no_words()))
+    # Rows without a URL go around the join, where they would all meet in one task.
+    without = df.where(F.col(url_col).isNull()).withColumn(out, _no_words())
+    found = df.where(F.col(url_col).isNotNull()).join(keyed, url_col, "left").withColumn(out, F.coalesce(out, _no_words()))
+    return found.unionByName(without)
+
+
+def rank_url_keywords(df: DataFrame, url_col: str = "SOURCEURL", **options) -> DataFrame:
+    """``(keyword, n)`` over all rows, with the keywords of each distinct URL extracted once."""
+    counted = df.where(F.col(url_col).isNotNull()).groupBy(F.col(url_col).alias("_url")).agg(F.count(F.lit(1)).alias("_rows"))
+    listed = extract_keywords(counted, "_url", **options).select("_rows", F.explode("Keywords").alias("keyword"))
+    return listed.groupBy("keyword").agg(F.sum("_rows").alias("n")).orderBy(F.desc("n"), "keyword")
 
 
 def rank_keywords(df: DataFrame, keywords_col: str = "Keywords", order: Column | None = None) -> DataFrame:
@@ -103,7 +114,7 @@ def rank_keywords(df: DataFrame, keywords_col: str = "Keywords", order: Column |
 
 
 def search_term(ranked: DataFrame, n: int = 3) -> DataFrame:
-    """One row ``(term, pattern)`` from the top ``n`` of a keyword ranking.
+    """One row ``(term, pattern, plain, odd)`` from the top ``n`` of a keyword ranking.
 
     ``term`` is the quoted OR expression, ``*`` when there is no keyword. ``pattern``
     selects the same posts as a regular expression on whole words, null for ``*``.
@@ -112,14 +123,24 @@ def search_term(ranked: DataFrame, n: int = 3) -> DataFrame:
     place = F.struct(F.row_number().over(Window.orderBy(*order)).alias("place"), "keyword")
     top = ranked.orderBy(*order).limit(n).select(place.alias("entry"))
     listed = top.agg(F.array_sort(F.collect_list("entry")).alias("entries"))
-    return listed.select(*term_columns(F.col("entries.keyword")))
+    words = F.col("entries.keyword")
+    return listed.select(*term_columns(words), *match_columns(words))
+
+
+def match_columns(words: Column) -> tuple[Column, Column]:
+    """``plain``, the words of letters and digits in lower case, and ``odd``, the pattern of the others if there are any."""
+    edge = F.lit(r"[^\p{L}\p{N}_]")
+    plain = F.transform(F.filter(words, lambda w: ~F.rlike(w, edge)), F.lower)
+    return plain.alias("plain"), term_columns(F.filter(words, lambda w: F.rlike(w, edge)))[1].alias("odd")
 
 
 def term_columns(keywords: Column) -> tuple[Column, Column]:
     """``term`` and ``pattern`` of an array of search words."""
     some = F.size(keywords) > 0
+    # A backslash-E within a word would end the quotation.
+    quote = lambda w: F.concat(F.lit(r"\Q"), F.replace(w, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
     quoted = F.concat_ws(" OR ", F.transform(keywords, lambda w: F.concat(F.lit('"'), w, F.lit('"'))))
-    literal = F.concat_ws("|", F.transform(keywords, lambda w: F.concat(F.lit(r"\Q"), w, F.lit(r"\E"))))
+    literal = F.concat_ws("|", F.transform(keywords, quote))
     edge = r"[^\p{L}\p{N}_]"
     pattern = F.concat(F.lit(rf"(?iu)(?:^|{edge})(?:"), literal, F.lit(rf")(?:$|{edge})"))
     return (

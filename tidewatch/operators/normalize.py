@@ -29,6 +29,10 @@ def total_engagement(likes: Column, shares: Column, comments: Column) -> Column:
     return sum((F.coalesce(c, F.lit(0)) for c in (shares, comments)), F.coalesce(likes, F.lit(0))).cast("long")
 
 
+# Columns of the load, not of the source, that go along.
+_CARRIED = ("load",)
+
+
 def _common(df: DataFrame, platform: str, columns: dict[str, Column], extra: dict[str, Column]) -> DataFrame:
     """The common columns in their fixed order, then what only this platform has."""
     columns = columns | {
@@ -45,7 +49,8 @@ def _common(df: DataFrame, platform: str, columns: dict[str, Column], extra: dic
     for name, kind in _ABSENT.items():
         columns.setdefault(name, F.lit(None).cast(kind))
     ordered = [columns[name].alias(name) for name in POST_COLUMNS]
-    return df.select(*ordered, *(column.alias(name) for name, column in extra.items()))
+    carried = [name for name in _CARRIED if name in df.columns]
+    return df.select(*ordered, *(column.alias(name) for name, column in extra.items()), *carried)
 
 
 def normalize_tiktok(df: DataFrame, *, null_tags_as_empty: bool = False) -> DataFrame:

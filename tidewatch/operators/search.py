@@ -8,23 +8,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions import dates
-from tidewatch.operators.keywords import term_columns
+from tidewatch.operators.keywords import match_columns, term_columns
 
 WINDOW_DAYS = 3
-LIMIT = 10_000
+# What parts the words of a post.
+EDGE = r"[^\p{L}\p{N}_]"
 
 
 def matches(content: Column, term: DataFrame | list[str] | None) -> Column:
     """Posts that hold any of the words, whole and in any case; no words selects all.
 
     ``term`` is a word list or the one-row result of ``search_term``, which stays part of
-    the plan as a scalar subquery.
+    the plan as a scalar subquery. Words of letters and digits are looked up among the
+    post's own; only others need a pattern, and only where there are such words.
     """
     if isinstance(term, DataFrame):
-        pattern = term.select("pattern").scalar()
+        pattern, plain, odd = (term.select(c).scalar() for c in ("pattern", "plain", "odd"))
     else:
-        pattern = term_columns(F.array(*map(F.lit, term)))[1] if term else F.lit(None).cast("string")
-    return pattern.isNull() | F.rlike(content, pattern)
+        words = F.array(*map(F.lit, term or [])).cast("array<string>")
+        pattern, (plain, odd) = term_columns(words)[1], match_columns(words)
+    own = F.split(F.lower(content), rf"{EDGE}+")
+    return pattern.isNull() | F.arrays_overlap(own, plain) | (odd.isNotNull() & F.rlike(content, odd))
 
 
 def capped(df: DataFrame, groups: list[str], order: list[Column], limit: int, unique: str,
@@ -47,8 +51,8 @@ def capped(df: DataFrame, groups: list[str], order: list[Column], limit: int, un
 
 
 def search_posts(posts: DataFrame, term: DataFrame | list[str] | None, since: dates.Moment,
-                 until: dates.Moment, *, limit: int = LIMIT, window_days: int = WINDOW_DAYS) -> DataFrame:
-    """Posts of [since, until) that match, at most ``limit`` per platform and window.
+                 until: dates.Moment, *, limit: int | None = None, window_days: int = WINDOW_DAYS) -> DataFrame:
+    """Posts of [since, until) that match; with a ``limit``, at most so many per platform and window.
 
     Windows are ``window_days`` long from ``since``; earlier posts, then lower ids, go
     first. ``window_start`` tells the window of each post.
@@ -64,4 +68,6 @@ def search_posts(posts: DataFrame, term: DataFrame | list[str] | None, since: da
         & (F.col("created_at") < dates.timestamp_literal(end))
         & matches(F.col("content"), term)
     ).withColumn("window_start", window_start)
+    if limit is None:
+        return found
     return capped(found, ["Platform", "window_start"], [F.asc("created_at"), F.asc("post_id")], limit, "post_id")

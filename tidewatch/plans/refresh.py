@@ -7,9 +7,11 @@ once for report and ranking. Only those small results are checkpointed.
 
 from __future__ import annotations
 
-from functools import cache
+import uuid
+from collections.abc import Callable
+from functools import cache, reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators import correlation, news, social
@@ -18,38 +20,58 @@ from tidewatch.operators.normalize import normalize, union_posts
 from tidewatch.schemas import CORRUPT_COLUMN, PLATFORMS
 from tidewatch.session import cut_lineage
 from tidewatch.sinks.tables import (
-    Status, append_rows, replace_partitions, replace_table, write_status,
+    Status, append_rows, drop_loads, replace_partitions, replace_table, write_status,
 )
 from tidewatch.sources import events as event_source
 from tidewatch.sources import posts as post_source
 
 REPORTED_EVENTS = 10
 RANKED_EVENTS = 20
+# Within a partition, rows lie in the order their readers filter by.
+EVENT_ORDER = ["ActionGeo_Lat", "ActionGeo_Long", "GlobalEventID"]
+POST_ORDER = ["created_at", "post_id"]
+
+
+def file_load(path: str = "_metadata.file_path") -> Column:
+    """The name under which a file's rows are stored: of its whole path, as equal names occur in many folders."""
+    # Listings write local paths with one slash, scans with three.
+    plain = F.regexp_replace(path, "^file:/+", "file:/")
+    return F.concat(F.lit("f"), F.sha1(plain.cast("binary")))
+
+
+def _replaced(spark: SparkSession, files: list[str], table: str, within: str) -> None:
+    names = spark.createDataFrame([(f,) for f in files], "path string").select(file_load("path"))
+    drop_loads(spark, table, within, [row[0] for row in names.collect()])
 
 
 def load_events(spark: SparkSession, paths: str | list[str], root: str, *, by_file: bool = False) -> list[Status]:
     """Day files into the event and reject tables, counted and written in one pass.
 
-    A repeated load appends its rows again unless ``by_file``, where it replaces those of
-    the same files.
+    A repeated load appends its rows again unless ``by_file``, where it replaces all rows of
+    the same files, also those of days a corrected file no longer has. A load that breaks off
+    in between leaves these files without rows until it is repeated.
     """
     raw = event_source.read_events(spark, paths, keep_corrupt=True)
-    parts = ["kind", "event_date"]
     if by_file:
-        raw = raw.withColumn("source_file", F.col("_metadata.file_name"))
-        parts = ["kind", "source_file", "event_date"]
+        _replaced(spark, raw.inputFiles(), f"{root}/raw_events", "kind")
+    return save_events(raw.withColumn("load", file_load() if by_file else F.lit(f"a{uuid.uuid4().hex}")), root)
+
+
+def save_events(raw: DataFrame, root: str) -> list[Status]:
+    """Raw rows with their ``load`` into the event and reject partitions of one table."""
     raw, read = event_source.counted(raw, "read")
     rows = event_source.routed(event_source.with_audit(raw))
     kinds = Observation("kinds")
     rows = rows.observe(kinds, *(F.count_if(F.col("kind") == k).alias(k) for k in ("events", "rejects")))
-    save = replace_partitions if by_file else append_rows
-    written = write_status("events", lambda: save(rows, f"{root}/raw_events", parts), empty_ok=True)
+    parts = ["kind", "load", "event_date"]
+    written = write_status("events", lambda: append_rows(rows, f"{root}/raw_events", parts, sort_by=EVENT_ORDER), empty_ok=True)
     if not written.ok:
         return [written]
+    events = event_source.seen(kinds, "events")
     return [
-        Status("events_read", read.get["rows"], True),
-        Status("events", kinds.get["events"], kinds.get["events"] > 0),
-        Status("event_rejects", kinds.get["rejects"], True),
+        Status("events_read", event_source.seen(read), True),
+        Status("events", events, events > 0),
+        Status("event_rejects", event_source.seen(kinds, "rejects"), True),
     ]
 
 
@@ -62,33 +84,69 @@ def stored_rejects(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _stored(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/raw_events").where(F.col("kind") == kind).drop("kind")
+    return spark.read.parquet(f"{root}/raw_events").where(F.col("kind") == kind).drop("kind", "load")
+
+
+def stored_posts(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/posts").drop("load")
 
 
 def load_posts(spark: SparkSession, paths: str | list[str], root: str,
                platforms: list[str] | tuple[str, ...] = PLATFORMS,
-               options: dict[str, dict] | None = None) -> list[Status]:
-    """Post archives into ``posts``, partitioned by platform and day, with the hits read of each platform."""
-    seen, parts = {}, []
-    for platform in platforms:
-        hits = post_source.unnest_hits(post_source.read_envelopes(spark, paths, platform))
-        hits, seen[platform] = event_source.counted(hits, f"{platform}_read")
-        parts.append(normalize(hits, platform, **(options or {}).get(platform, {})))
+               options: dict[str, dict] | None = None, *, by_file: bool = False) -> list[Status]:
+    """Post archives into ``posts``, partitioned by platform, load and day.
+
+    Statuses tell the hits read of each platform, the files that hold fewer hits than they
+    announce, and the broken files, whose text goes to ``post_rejects``. ``by_file`` replaces
+    what the same files gave before.
+    """
+    load = file_load("file_path") if by_file else F.lit(f"a{uuid.uuid4().hex}")
+    envelopes = {p: post_source.read_envelopes(spark, paths, p, keep_corrupt=True).withColumn("load", load)
+                 for p in platforms}
+    if by_file:
+        files = sorted({f for e in envelopes.values() for f in e.inputFiles()})
+        for table in ("posts", "post_rejects"):
+            _replaced(spark, files, f"{root}/{table}", "Platform")
+    return save_posts(envelopes, root, options)
+
+
+def save_posts(envelopes: dict[str, DataFrame], root: str, options: dict[str, dict] | None = None) -> list[Status]:
+    """Envelopes per platform, with their ``load``, into posts and rejects; the latter are read again only if there are any."""
+    marks, parts, rejects = {}, [], []
+    for platform, files in envelopes.items():
+        rejects.append(post_source.broken_files(files).withColumn("Platform", F.lit(platform)))
+        total, held = post_source.announced_and_held(files)
+        marks[platform] = Observation(f"{platform}_files")
+        files = files.observe(marks[platform], F.sum(held).alias("read"), F.count_if(total > held).alias("truncated"),
+                              F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("rejects"))
+        parts.append(normalize(post_source.unnest_hits(files, "load"), platform, **(options or {}).get(platform, {})))
     posts = union_posts(*parts).withColumn("post_date", F.to_date("created_at"))
-    written = write_status("posts", lambda: append_rows(posts, f"{root}/posts", ["Platform", "post_date"]))
+    partitions = ["Platform", "load", "post_date"]
+    written = write_status("posts", lambda: append_rows(posts, f"{root}/posts", partitions, sort_by=POST_ORDER))
     if written.error:
         return [written]
-    return [Status(f"{p}_read", s.get["rows"], True) for p, s in seen.items()] + [written]
+    found = {kind: {p: event_source.seen(mark, kind) for p, mark in marks.items()} for kind in ("read", "truncated")}
+    broken = Status("post_rejects", 0, True)
+    # Where no file had a hit, nothing was counted on the way either.
+    if any(event_source.seen(mark, "rejects", None) != 0 for mark in marks.values()):
+        broken = write_status("post_rejects", lambda: append_rows(
+            reduce(DataFrame.unionByName, rejects), f"{root}/post_rejects", ["Platform", "load"]), empty_ok=True)
+    return [Status(f"{p}_read", n, True) for p, n in found["read"].items()] + [
+        Status(f"{p}_truncated", n, True) for p, n in found["truncated"].items() if n] + [broken, written]
+
+
+def shared_rollup(events: DataFrame, root: str) -> Callable[[], DataFrame]:
+    """The daily rollup of the events, computed when first asked for."""
+    return cache(lambda: cut_lineage(news.daily_news_rollup(events), f"{root}/_checkpoints"))
 
 
-def refresh_news(events: DataFrame, root: str, **keyword_options) -> tuple[list[Status], DataFrame | None]:
+def refresh_news(events: DataFrame, root: str, rollup: Callable[[], DataFrame] | None = None,
+                 **keyword_options) -> tuple[list[Status], DataFrame | None]:
     """Daily insights, places, trend, most mentioned events.
 
     Returns the statuses and the keyword ranking, None if the latter cannot be computed.
     """
-    @cache
-    def rollup() -> DataFrame:
-        return cut_lineage(news.daily_news_rollup(events), f"{root}/_checkpoints")
+    rollup = rollup or shared_rollup(events, root)
 
     @cache
     def keyed() -> DataFrame:
@@ -96,9 +154,10 @@ def refresh_news(events: DataFrame, root: str, **keyword_options) -> tuple[list[
         return cut_lineage(extract_keywords(top, "SourceURL", **keyword_options), f"{root}/_checkpoints")
 
     statuses = [
-        write_status("daily_insights", lambda: replace_table(news.insights_of(rollup()), f"{root}/daily_insights")),
-        write_status("geo_analysis", lambda: replace_table(news.geo_analysis(events), f"{root}/geo_analysis")),
-        write_status("trend_analysis", lambda: replace_table(news.trend_of(rollup()), f"{root}/trend_analysis")),
+        write_status("daily_insights", lambda: replace_table(news.insights_of(rollup()), f"{root}/daily_insights", sort_by=["Date"])),
+        write_status("geo_analysis", lambda: replace_table(
+            news.geo_analysis(events), f"{root}/geo_analysis", sort_by=["ActionGeo_Lat", "ActionGeo_Long"])),
+        write_status("trend_analysis", lambda: replace_table(news.trend_of(rollup()), f"{root}/trend_analysis", sort_by=["Date"])),
         write_status(
             "top_mentions",
             lambda: replace_table(news.top_mentions_of(keyed(), REPORTED_EVENTS), f"{root}/top_mentions"),
@@ -108,14 +167,19 @@ def refresh_news(events: DataFrame, root: str, **keyword_options) -> tuple[list[
     return statuses, news.keyword_ranking_of(keyed()) if statuses[-1].error is None else None
 
 
-def refresh_social(events: DataFrame, posts: DataFrame, root: str) -> list[Status]:
-    """Daily metrics, top authors, and the upsert of the day-by-day pairing."""
+def refresh_social(events: DataFrame, posts: DataFrame, root: str,
+                   mentions: Callable[[], DataFrame] | None = None) -> list[Status]:
+    """Daily metrics, top authors, and the upsert of the day-by-day pairing.
+
+    ``mentions`` gives the rollup that ``refresh_news`` used, which saves a scan of the events.
+    """
     @cache
     def rollup() -> DataFrame:
         return cut_lineage(social.daily_social_rollup(posts), f"{root}/_checkpoints")
 
     def pair() -> int:
-        paired = correlation.pair_days(news.news_daily_mentions(events), social.engagement_of(rollup()))
+        paired = correlation.pair_days(
+            news.mentions_of(mentions()) if mentions else news.news_daily_mentions(events), social.engagement_of(rollup()))
         return replace_partitions(paired, f"{root}/news_social_correlation", ["Date"])
 
     return [
@@ -134,8 +198,10 @@ def refresh_social(events: DataFrame, posts: DataFrame, root: str) -> list[Statu
 def refresh_all(events: DataFrame, posts: DataFrame, root: str,
                 **keyword_options) -> tuple[list[Status], DataFrame | None]:
     """Every derived table, events first; returns statuses and the keyword ranking."""
-    statuses, ranking = refresh_news(events, root, **keyword_options)
-    return statuses + refresh_social(events, posts, root), ranking
+    rollup = shared_rollup(events, root)
+    statuses, ranking = refresh_news(events, root, rollup, **keyword_options)
+    shared = None if any(s.error for s in statuses if s.table in ("daily_insights", "trend_analysis")) else rollup
+    return statuses + refresh_social(events, posts, root, shared), ranking
 
 
 def succeeded(statuses: list[Status]) -> bool:

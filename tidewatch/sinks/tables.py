@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions import dates
-from tidewatch.sources.events import counted
+from tidewatch.sources.events import counted, seen
 
 
 class Status(NamedTuple):
@@ -31,33 +31,48 @@ def append_rows(df: DataFrame, path: str, partition_by: list[str], *, sort_by: l
     Rows are rebalanced by partition first: files come out at the advisory size, small
     partitions are merged and one that holds much of the data is split over many tasks.
     """
-    df, seen = counted(df, "append")
     balanced = df.hint("rebalance", *(F.col(c) for c in partition_by))
     if sort_by:
         balanced = balanced.sortWithinPartitions(*partition_by, *sort_by)
+    # Counted above the shuffle, where a repeated task does not count twice.
+    balanced, rows = counted(balanced, "append")
     writer = balanced.write.mode("append").partitionBy(*partition_by)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.parquet(path)
-    return seen.get["rows"]
+    return seen(rows)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> int:
     """Overwrite only the partitions ``df`` has rows for, so that a repeated load changes nothing."""
-    df, seen = counted(df, "replace")
-    (df.hint("rebalance", *(F.col(c) for c in partition_by))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    df, rows = counted(df.hint("rebalance", *(F.col(c) for c in partition_by)), "replace")
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).parquet(path))
-    return seen.get["rows"]
+    return seen(rows)
+
+
+def drop_loads(spark: SparkSession, path: str, within: str, loads: list[str]) -> None:
+    """Remove the ``load`` partitions of these names below every ``within`` partition of a table.
+
+    Unlike a dynamic overwrite this also removes days that the new rows no longer have.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(root):
+        return
+    for folder in store.listStatus(root):
+        if folder.getPath().getName().startswith(f"{within}="):
+            for load in loads:
+                store.delete(spark._jvm.org.apache.hadoop.fs.Path(folder.getPath(), f"load={load}"), True)
 
 
 def replace_table(df: DataFrame, path: str, *, sort_by: list[str] | None = None) -> int:
     """Replace a derived table; sorted files let a reader skip row groups by min and max."""
-    df, seen = counted(df, "table")
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
+    df, rows = counted(df, "table")
     df.write.mode("overwrite").parquet(path)
-    return seen.get["rows"]
+    return seen(rows)
 
 
 def write_status(table: str, write: Callable[[], int], *, empty_ok: bool = False) -> Status:

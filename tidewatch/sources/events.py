@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,6 +82,18 @@ def split_rejects(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, rows.where("kind = 'rejects'").drop("kind", "event_date")
 
 
+def seen(observation: Observation, name: str = "rows", missing: int | None = 0) -> int | None:
+    """A count taken by ``observe``; ``missing`` where the optimizer dropped the node, as no rows came of it.
+
+    Reading such an observation raises an error of the JVM.
+    """
+    try:
+        count = observation.get.get(name)
+    except (Py4JJavaError, PySparkException):
+        return missing
+    return missing if count is None else count
+
+
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Row count taken while the rows stream by in whatever job runs next: no extra pass."""
     observation = Observation(name)

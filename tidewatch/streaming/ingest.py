@@ -2,27 +2,36 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewatch.operators.normalize import normalize
-from tidewatch.schemas import EVENT_SCHEMA, get_schema
-from tidewatch.sinks.tables import replace_partitions
-from tidewatch.sources.events import csv_options, split_rejects, with_audit
-from tidewatch.sources.posts import unnest_hits
+from tidewatch.plans.refresh import save_events, save_posts
+from tidewatch.schemas import EVENT_SCHEMA, with_corrupt_column
+from tidewatch.sinks.tables import Status, drop_loads
+from tidewatch.sources.events import csv_options
+from tidewatch.sources.posts import stream_envelopes
 
 
-def _run(stream: DataFrame, load: Callable[[DataFrame], DataFrame], table: str, day: str,
+def _run(stream: DataFrame, save: Callable[[DataFrame], list[Status]], tables: dict[str, str],
          checkpoint: str) -> StreamingQuery:
-    """Write every micro-batch into partitions of its own number.
+    """Write every micro-batch as a load of its own, named after checkpoint and batch number.
 
-    A batch that is repeated after a failure overwrites what its first attempt left.
+    Batch numbers restart with every checkpoint, so both are needed. A batch that is repeated
+    after a failure first removes what its earlier attempt left.
     """
+    source = hashlib.sha1(checkpoint.encode()).hexdigest()[:16]
+
     def write(batch: DataFrame, number: int) -> None:
-        replace_partitions(load(batch).withColumn("ingest_batch", F.lit(number)), table, ["ingest_batch", day])
+        load = f"s{source}-{number}"
+        for table, within in tables.items():
+            drop_loads(batch.sparkSession, table, within, [load])
+        for status in save(batch.withColumn("load", F.lit(load))):
+            if status.error:
+                raise RuntimeError(f"{status.table}: {status.error}")
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -32,30 +41,22 @@ def _run(stream: DataFrame, load: Callable[[DataFrame], DataFrame], table: str,
     )
 
 
-def ingest_events(spark: SparkSession, folder: str, table: str, checkpoint: str, *,
+def ingest_events(spark: SparkSession, folder: str, root: str, checkpoint: str, *,
                   files_per_batch: int = 1000) -> StreamingQuery:
-    """Append new day files to the event table, partitioned by batch and ``event_date``."""
+    """New day files into the event and reject tables under ``root``, as the batch load writes them."""
     stream = (
-        spark.readStream.schema(EVENT_SCHEMA).options(**csv_options())
+        spark.readStream.schema(with_corrupt_column(EVENT_SCHEMA)).options(**csv_options())
         .option("maxFilesPerTrigger", files_per_batch).csv(folder)
     )
-    return _run(stream, lambda batch: split_rejects(with_audit(batch))[0], table, "event_date", checkpoint)
+    return _run(stream, lambda batch: save_events(batch, root), {f"{root}/raw_events": "kind"}, checkpoint)
 
 
-def ingest_posts(spark: SparkSession, folder: str, platform: str, table: str, checkpoint: str, *,
-                 files_per_batch: int = 1000) -> StreamingQuery:
-    """Append one platform's new files to the post table, by batch and ``post_date``.
+def ingest_posts(spark: SparkSession, folder: str, platform: str, root: str, checkpoint: str, *,
+                 files_per_batch: int = 1000, options: dict | None = None) -> StreamingQuery:
+    """One platform's new files into ``posts`` and ``post_rejects`` under ``root``.
 
-    Every platform needs its own ``checkpoint`` and its own folder under the table root.
+    Every platform needs its own ``checkpoint``.
     """
-    stream = (
-        spark.readStream.schema(get_schema(platform)).option("multiLine", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("pathGlobFilter", f"*{platform.lower()}*").json(folder)
-    )
-
-    def load(batch: DataFrame) -> DataFrame:
-        posts = normalize(unnest_hits(batch), platform)
-        return posts.withColumn("post_date", F.to_date("created_at"))
-
-    return _run(stream, load, table, "post_date", checkpoint)
+    stream = stream_envelopes(spark, folder, platform, files_per_batch)
+    return _run(stream, lambda batch: save_posts({platform.lower(): batch}, root, {platform.lower(): options or {}}),
+                {f"{root}/posts": "Platform", f"{root}/post_rejects": "Platform"}, checkpoint)
