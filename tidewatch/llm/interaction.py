@@ -14,7 +14,7 @@ the part of the empty text. An empty table gives no rows. Other columns are not
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm.storage import stored
@@ -24,14 +24,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 RECURSION = """
     with recursive steps(prefix, step, letter, bits, mask, kept, removed, redundant, unique_fails) as (
-        select '', 0, '', 0, mask, true, false, false, false from {masks}
+        select '', 0, '', 0, mask, true, false, false, false from (select explode(sequence(0, {masks} - 1)) as mask)
         union all
         select concat(s.prefix, f.letter), s.step + 1, f.letter, s.bits | f.bit, s.mask,
                s.mask & (s.bits | f.bit) = 0,
                s.mask & s.bits = 0 and s.mask & f.bit <> 0,
                s.mask & s.bits <> 0 and s.mask & f.bit <> 0,
                s.mask = f.bit
-        from steps s join {filters} f on s.bits & f.bit = 0
+        from steps s join (values {unused}) f(applied, letter, bit) on s.bits = f.applied
     )
     select * from steps where step > 0
 """
@@ -75,11 +75,11 @@ def cells(docs: DataFrame, labels: DataFrame, letters: str = LETTERS) -> DataFra
         F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic"))
 
 
-def steps(spark, letters: str = LETTERS) -> DataFrame:
+def steps(spark: SparkSession, letters: str = LETTERS) -> DataFrame:
     """What every prefix of filters does, in its last step, to the documents of every mask."""
-    every = spark.range(1 << len(letters)).select(F.col("id").cast("int").alias("mask"))
-    filters = spark.createDataFrame([(x, 1 << i) for i, x in enumerate(letters)], "letter string, bit int")
-    return spark.sql(RECURSION, masks=every, filters=filters)
+    unused = ", ".join(f"({applied}, '{x}', {1 << i})" for applied in range(1 << len(letters))
+                       for i, x in enumerate(letters) if not applied >> i & 1)
+    return spark.sql(RECURSION.format(masks=1 << len(letters), unused=unused))
 
 
 def audit(cells: DataFrame, letters: str = LETTERS) -> DataFrame:
