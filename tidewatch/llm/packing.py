@@ -18,8 +18,10 @@ empty table gives no pieces. Columns other than ``doc_id`` and ``text`` are not
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -28,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.bpe import CACHE_PIECES, gathered
+from tidewatch.llm.bpe import gathered
 from tidewatch.llm.records import LibraryPieces
 from tidewatch.llm.storage import stored
 from tidewatch.llm.text import BYTE_CODES, by_two_hashes, slices, texts
@@ -37,21 +39,44 @@ LENGTH = 2048
 END_TOKEN = 0
 PIECES = "doc_id long, piece int, start long, length long, ids binary, block long, place long"
 
-# What may precede a cut: printable ASCII, or the second byte of a letter from U+00C0 to U+07FF. None is white space.
+# What may precede white space at a cut: printable ASCII, or the second byte of a letter from U+00C0 to U+07FF.
 _SOLID = np.array([33 <= c <= 126 for c in range(256)])
 _LEADS = np.array([0xC3 <= c <= 0xDF for c in range(256)])
 _SPACES = np.array([c in b" \t\n\v\f\r" for c in range(256)])
-_LETTERS = np.array([chr(c).isascii() and chr(c).isalpha() for c in range(256)])
-_STOPS = np.array([c in b'.,;:!?)"' for c in range(256)])
+# ASCII letters 1, digits 2, signs 4 without those that begin contractions or special tokens, all else 0.
+_KINDS = np.array([0 if not 33 <= c <= 126 or c in b"'<|>" else 1 if chr(c).isalpha() else 2 if chr(c).isdigit() else 4
+                   for c in range(256)], dtype=np.uint8)
+# One word of letters up to U+00FF, or of digits, with a space before it or without.
+_WORD = re.compile(rb" ?(?:(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[0-9]+)")
+# Distinct pieces a worker remembers: some 100 MB.
+CACHE_PIECES = 1_000_000
 
 
 class BytePieces(LibraryPieces):
     """Byte-level pair encoding by the library, which is asked once for each distinct piece that the cache holds.
 
-    Texts are cut before white space that follows something else, and between an ASCII letter and a stop. The tokenizer's
-    own pattern never crosses such a place, and what it does on either side does not depend on the other.
+    Texts are cut before white space that follows something else, and between ASCII letters, digits and signs. The
+    tokenizer's own pattern never crosses such a place, and what it does on either side does not depend on the other.
+    A piece that is one word goes to the library's model directly, in the characters that stand for its bytes.
     """
 
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = iter(range(256, 512))
+        self.letters = {b: b if b in plain else next(rest) for b in range(256)}
+
+    def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        single = [_WORD.fullmatch(x) is not None for x in pieces]
+        tokenize = self.library.model.tokenize
+        found = [[token.id for token in tokenize(x.decode("latin-1").translate(self.letters))] if alone else None
+                 for x, alone in zip(pieces, single)]
+        others = iter(self.library.encode_batch_fast([x.decode() for x, alone in zip(pieces, single) if not alone],
+                                                     add_special_tokens=False))
+        found = [ids if alone else next(others).ids for ids, alone in zip(found, single)]
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(sizes.sum())), sizes
+
     def encode(self, parts: list[bytes]) -> list[np.ndarray]:
         if self.known.size > CACHE_PIECES:
             self._forget()
@@ -63,7 +88,8 @@ class BytePieces(LibraryPieces):
         cut = np.zeros(len(data) + 1, dtype=bool)
         solid = _SOLID[data]
         solid[1:] |= _LEADS[data[:-1]]
-        cut[1:-1] = (_SPACES[data[1:]] & solid[:-1]) | (_STOPS[data[1:]] & _LETTERS[data[:-1]])
+        kind = _KINDS[data]
+        cut[1:-1] = (_SPACES[data[1:]] & solid[:-1]) | ((kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0))
         cut[0] = True
         cut[ends] = True
         edges = np.flatnonzero(cut)
