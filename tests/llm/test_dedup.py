@@ -192,3 +192,73 @@ def test_cleaned_documents_keep_their_columns(spark):
     assert cleaned.schema.names == docs.schema.names
     sizes = {r.doc_id: (r.text, r.n_chars, r.tag, r.row, r.spans) for r in cleaned.collect()}
     assert sizes[20] == ("", 0, "t", 1, 2) and sizes[44] == ("one two three", 13, "t", 1, 2)
+
+
+def test_suffix_dedup_of_a_very_long_text_at_full_length(spark):
+    """400 bytes with the prefix that production uses, in texts of which one has two megabytes."""
+    from corpus import prose
+
+    shared = " ".join(prose(900, 200)).encode()
+    rows = [(i, f"own {i} " + " ".join(prose(910 + i, 30)) + shared[a:b].decode() + " ".join(prose(950 + i, 30)))
+            for i, (a, b) in enumerate([(0, 399), (100, 501), (100, 500), (0, 700), (300, 699), (0, 10)])]
+    long_words = prose(990, 5000)
+    rows += [(52, " ".join(long_words)), (53, " ".join(f"{w}{k}" for k in range(60) for w in long_words[:900])), (54, "z" * 3000)]
+    found = suffixes.remove_repeats(frame(spark, rows))
+    assert collected(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == byte_repeats(rows, 400)
+
+
+def test_passages_of_51_to_60_words_go(spark):
+    """What the pipeline cuts: passages of over 50 words that occur in two documents, and nothing else."""
+    from corpus import prose
+
+    import corpus_pipeline
+
+    rows, passages = [], []
+    for k, n in enumerate(range(51, 61)):
+        passage = " ".join(f"{w}{k}" for w in prose(700 + k, n))
+        passages.append(passage)
+        rows += [(2 * k + j, " ".join(f"{w}{k}{j}" for w in prose(720 + 2 * k + j, 40)) + f" {passage} "
+                  + " ".join(f"{w}{j}{k}" for w in prose(760 + 2 * k + j, 40))) for j in range(2)]
+    clean = [(100 + i, " ".join(f"{w}x{i}" for w in prose(800 + i, 150))) for i in range(5)]
+    left = {r.doc_id: r.text for r in corpus_pipeline.cut_repeats(spark, frame(spark, rows + clean), "").collect()}
+    for i, text in rows:
+        assert passages[i // 2] in text and passages[i // 2][8:-8] not in left[i]
+        assert len(left[i]) > 300
+    assert all(left[i] == text for i, text in clean)
+
+
+def test_order_minhash_of_a_very_long_text(spark):
+    from corpus import changed, prose
+
+    words = prose(9, 20000)
+    rows = [(1, " ".join(words)), (2, " ".join(changed(words, 4, 100))), (3, " ".join(changed(words, 5, 9000))), (4, "x" * 200000)]
+    assert {r.doc_id: r.class_id for r in ordered.near_duplicates(frame(spark, rows)).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
+def test_vectors_of_extreme_size_and_of_any_length_link(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 1e200]), (3, [1e-200, 1e-200]), (4, [3e-200, 3e-200]), (5, [5e-324, 0.0]),
+            (6, [1.0, 0.0]), (7, [1.0, 2.0, 3.0]), (8, [1.0, 2.0, 3.1]), (9, [1.0]), (10, [2.0]), (11, [-1.0]), (12, [0.0, 1.0])]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert found == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (1, 5), 6: (1, 5), 7: (1, 7), 8: (1, 7), 9: (1, 9),
+                     10: (1, 9), 11: (0, 11), 12: (0, 12)}
+
+
+def test_recall_at_the_default_probes_with_many_lists(spark):
+    """Pairs at cosines just above the threshold among vectors that fill over a hundred lists."""
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(9000, 32))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    noise = rng.normal(size=(1000, 32))
+    noise -= (noise * base[:1000]).sum(axis=1)[:, None] * base[:1000]
+    noise /= np.linalg.norm(noise, axis=1)[:, None]
+    cosine = rng.uniform(0.9, 0.93, size=(1000, 1))
+    twins = cosine * base[:1000] + np.sqrt(1 - cosine ** 2) * noise
+    every = np.concatenate((base, twins))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(every)], "vec_id long, embedding array<double>")
+    links = {r.vec_id: r.n_links for r in vectors.near_duplicates(df).collect()}
+    near = every @ every.T >= 0.9
+    want = near.sum(axis=1) - 1
+    found = np.array([links[i] for i in range(len(every))])
+    assert (found <= want).all()
+    assert found.sum() >= 0.9 * want.sum() and want.sum() >= 1990

@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 from compare import connect, differences
 from corpus import collected, frame, texts
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidewatch.llm import bpe, records, warc
@@ -139,3 +140,79 @@ def test_warc_round_trip_pushdown_and_plain_archives(spark, tmp_path):
     twice = warc.read(spark, f"file://{tmp_path}/other")
     assert collected(twice, "page_id", "target_uri", "record_type", "refers_to", "payload") == sorted(found * 2, key=repr)
     assert twice.select("page_id").filter("page_id = 5").count() == 2
+
+
+def test_shuffled_reading_covers_every_record_once(spark, tmp_path):
+    target = f"file://{tmp_path}/records"
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"))
+    records.write_documents(docs.repartition(4), PATH, target)
+    plain = collected(records.read(spark, target), "doc_id", "start", "n_tokens", "ids")
+    split = spark.read.format("token_records").option("path", target).option("split_bytes", 4096)
+    orders = {}
+    for seed in (1, 1, 2, -7):
+        frame_ = split.option("seed", seed).load()
+        assert frame_.rdd.getNumPartitions() > 4
+        rows = frame_.collect()
+        assert sorted((tuple(r) for r in rows), key=repr) == plain
+        order = [r.doc_id for r in rows]
+        assert orders.setdefault(seed, order) == order != sorted(order)
+    assert len({tuple(o) for o in orders.values()}) == 3
+    # Neighbours of the stored order do not stay neighbours.
+    assert sum(abs(a - b) == 1 for a, b in zip(orders[1], orders[1][1:])) < 30
+    assert records.read(spark, target, seed=5).count() == 3000
+
+
+@pytest.mark.parametrize("total", [1, 2, 3, 64, 1000, 4097])
+def test_the_shuffled_order_is_a_permutation(total):
+    for seed in (0, 9, -1):
+        assert sorted(records.permuted(np.arange(total), total, seed).tolist()) == list(range(total))
+
+
+def test_many_null_ids_go_to_several_tasks(spark, tmp_path):
+    target = f"file://{tmp_path}/records"
+    docs = spark.range(10000).select(F.lit(None).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # this little would be merged into one
+    try:
+        records.write_documents(docs.repartition(8), PATH, target)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len([p for p in (tmp_path / "records").glob("*.records")]) > 4
+    assert records.read(spark, target).count() == 10000
+
+
+def warc_record(kind, block, content_type, *more):
+    head = [f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{kind}-1>", "WARC-Date: 2020-01-02T03:04:05Z",
+            f"Content-Type: {content_type}", f"Content-Length: {len(block)}", *more]
+    return ("WARC/1.0\r\n" + "\r\n".join(head) + "\r\n\r\n").encode() + block + b"\r\n\r\n"
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    """Blocks that hold no HTTP message are payloads as a whole, and ids of any form are kept."""
+    body = b"first\r\n\r\nsecond \xff\x00 paragraph"
+    wanted = {"warcinfo": (b"software: x\r\nformat: y\r\n", "application/warc-fields"), "resource": (b"plain bytes", "text/plain"),
+              "conversion": (body, "text/plain"), "metadata": (b"", "application/warc-fields")}
+    parts = [warc_record(kind, block, kind_of) for kind, (block, kind_of) in wanted.items()]
+    parts += [warc_record("response", b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n" + body, "application/http; msgtype=response"),
+              warc_record("request", b"GET / HTTP/1.0\r\nHost: x\r\n\r\n", "application/http;msgtype=request"),
+              warc_record("revisit", b"HTTP/1.1 200 OK\r\n\r\n", "application/http", "WARC-Refers-To: <urn:uuid:response-1>")]
+    (tmp_path / "plain.warc").write_bytes(b"".join(parts))
+    (tmp_path / "packed.warc.gz").write_bytes(b"".join(gzip.compress(p) for p in parts))
+    found = warc.read(spark, f"file://{tmp_path}").collect()
+    payloads = {k: block for k, (block, _) in wanted.items()} | {"response": body, "request": b"", "revisit": None}
+    assert len(found) == 2 * len(payloads)
+    for r in found:
+        want = payloads[r.record_type]
+        assert (r.payload if r.payload is None else bytes(r.payload)) == want, r.record_type
+        assert r.payload_bytes == (None if want is None else len(want))
+        assert (r.record_id, r.date, r.page_id) == (f"<urn:uuid:{r.record_type}-1>", "2020-01-02T03:04:05Z", None)
+        assert r.refers_to_id == ("<urn:uuid:response-1>" if r.record_type == "revisit" else None)
+    sizes = warc.read(spark, f"file://{tmp_path}", "record_type string, payload_bytes long")
+    assert sizes.filter(F.col("payload_bytes") == len(body)).count() == 4
+    assert warc.read(spark, f"file://{tmp_path}").filter("content_type = 'text/plain'").count() == 4
+
+
+def test_a_cut_off_archive_is_named(spark, tmp_path):
+    whole = warc_record("resource", b"x" * 500, "text/plain")
+    (tmp_path / "short.warc").write_bytes(whole + whole[:-200])
+    with pytest.raises(Exception, match="short.warc: record 1"):
+        warc.read(spark, f"file://{tmp_path}").collect()

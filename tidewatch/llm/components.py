@@ -34,7 +34,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = stored(edges.filter("a <> b").select("a", "b").distinct(), "edges")
     before = None
     while True:
-        now = stored(_small_star(_large_star(now)).filter("a <> b").distinct(), "edges")
+        now = stored(_small_star(_large_star(now)).filter("a <> b").distinct(), "edges", replaces=now)
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == before:
             break

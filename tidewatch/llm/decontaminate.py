@@ -4,8 +4,10 @@ Words are runs of digits, lower-cased ASCII letters and characters beyond ASCII.
 step and keeps the length of the longest match that ends there. A window is ``window`` consecutive words of an item,
 or all words of a shorter item. Words inside any occurrence of a window are hit.
 
-Null and empty texts have no words; items without words are ignored; repeated items count each by its own id;
-an empty benchmark hits nothing. Ties do not arise: every rule is a set of positions.
+Null and empty texts have no words; a very long text is streamed like any other, its words in memory at once; items
+without words, without text or without an id are ignored; repeated items count each by its own id; an empty benchmark
+hits nothing. Ties do not arise: every rule is a set of positions. The benchmark goes to every worker, which builds its
+automata once; one of more than ``BENCHMARK_BYTES`` is refused before anything is sent.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from tidewatch.llm.text import slices, spans, texts, unpacked, whole_rows
 WINDOW = 13
 # Item text that one automaton may hold; a larger benchmark is split into several, and every text passes all of them.
 BLOCK_BYTES = 8 << 20
+# All of it is held by the driver and, several times over, by each worker.
+BENCHMARK_BYTES = 64 << 20
 
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -140,7 +144,11 @@ def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[li
     """The stated query set, in blocks of bounded size."""
     blocks: list[list[tuple[str, bytes]]] = [[]]
     size = 0
-    rows = benchmark.select(F.col("item_id").cast("string"), "text").dropna().distinct().orderBy("item_id")
+    rows = benchmark.select(F.col("item_id").cast("string"), "text").dropna().distinct()
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if total > BENCHMARK_BYTES:
+        raise ValueError(f"benchmark of {total} bytes, more than {BENCHMARK_BYTES}")
+    rows = rows.orderBy("item_id", "text")
     for item, text in rows.toLocalIterator():
         data = text.encode()
         if blocks[-1] and size + len(data) > block_bytes:
@@ -151,6 +159,18 @@ def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[li
     return blocks
 
 
+_ready: dict[bytes, list[SuffixAutomaton]] = {}
+
+
+def _built(blocks: list[list[tuple[str, bytes]]], window: int) -> list[SuffixAutomaton]:
+    """The automata of these blocks; a worker that runs many tasks builds them in its first."""
+    mark = hashlib.sha256(repr((window, blocks)).encode()).digest()
+    if mark not in _ready:
+        _ready.clear()
+        _ready[mark] = [SuffixAutomaton(block, window) for block in blocks]
+    return _ready[mark]
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, percent: int = 5,
                   keep_text: bool = False) -> DataFrame:
     """One row per document: words, hit words, items, and whether at least ``percent`` of the words are hit.
@@ -163,7 +183,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
               "items array<string>" + (", clean_text string" if keep_text else ""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automata = [SuffixAutomaton(block, window) for block in blocks]
+        automata = _built(blocks, window)
         for rows, parts in slices(batches):
             out = []
             for text in parts:
@@ -202,7 +222,7 @@ def reject(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, perce
     blocks, schema = item_blocks(benchmark), docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automata = [SuffixAutomaton(block, window) for block in blocks]
+        automata = _built(blocks, window)
         for rows, parts in slices(batches):
             keep = []
             for text in parts:

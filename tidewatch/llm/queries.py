@@ -157,7 +157,7 @@ def op2_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return suffixes.remove_repeats(table(spark, folder, "documents"))
+    return suffixes.remove_repeats(table(spark, folder, "documents"), keep_text=True)
 
 
 @query

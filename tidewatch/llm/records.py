@@ -9,12 +9,17 @@ A record is framed as
 
 with all numbers little-endian and the mask a rotation by 15 bits plus a constant, so that a checksum of data that
 holds checksums stays telling. The payload is the document id (8 bytes), a presence byte for it, the width of a token
-in bytes (2 where the vocabulary allows, else 4), and the tokens. The index has, for each record, its offset and its
-number of tokens (8 bytes each). Each task writes files of its own; ``manifest.json``, written when all tasks are
-done, names those that count, in order, so a repeated task leaves at most files that no reader looks at.
+in bytes (2 where the vocabulary allows, else 4), and the tokens. The index has, for each record, its offset and the
+number of tokens before it in its file (8 bytes each), so any record is found by its number alone. Each task writes files
+of its own; ``manifest.json``, written when all tasks are done, names those that count, in order, so a repeated task
+leaves at most files that no reader looks at.
+
+Records are read in their order, or shuffled: a keyed permutation of the record numbers, computed where it is needed,
+gives every reading task a stretch of the shuffled order. It looks up these records in the index and reads them alone.
 
 Documents are in ascending order of their id, a null id first, equal ids in the order of their texts. Null texts are
-empty and hold the end token alone. An empty table gives a manifest without files and no rows.
+empty and hold the end token alone. An empty table gives a manifest without files and no rows. A text, its tokens and its
+record are held in memory as a whole.
 """
 
 from __future__ import annotations
@@ -32,11 +37,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tidewatch.llm.bpe import CachedPieces
 from tidewatch.llm.storage import ManifestWriter, Written, committed, files
-from tidewatch.llm.text import slices, texts
+from tidewatch.llm.text import mixed, slices, texts
 
 END_TOKEN = 2
 MASK = 0xA282EAD8
@@ -89,31 +95,32 @@ class RecordWriter(ManifestWriter):
         done = Written(TaskContext.get().partitionId())
         out = name = None
         offsets: list[int] = []
-        counts: list[int] = []
-        size = 0
+        before: list[int] = []
+        size = tokens_before = 0
 
         def close() -> None:
             nonlocal out
             if out is not None:
                 out.close()
                 with store.open_output_stream(f"{folder}/{name}.index") as index:
-                    index.write(np.column_stack((offsets, counts)).astype("<u8").tobytes())
-                done.files.append({"name": name, "index": f"{name}.index", "bytes": size, "records": len(offsets), "tokens": sum(counts)})
+                    index.write(np.column_stack((offsets, before)).astype("<u8").tobytes())
+                done.files.append({"name": name, "index": f"{name}.index", "bytes": size, "records": len(offsets), "tokens": tokens_before})
                 out = None
 
         for batch in iterator:
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
                 if out is None:
                     name = f"part-{done.order:06d}-{len(done.files):04d}-{uuid.uuid4().hex}.records"
-                    out, offsets, counts, size = store.open_output_stream(f"{folder}/{name}"), [], [], 0
+                    out, offsets, before, size, tokens_before = store.open_output_stream(f"{folder}/{name}"), [], [], 0, 0
                 tokens = np.frombuffer(ids or b"", dtype="<u4")
                 if len(tokens) and self.width == 2 and int(tokens.max()) > 0xFFFF:
                     raise ValueError("token beyond 65535 in records of two bytes a token")
                 record = framed(payload(doc_id, tokens, self.width))
                 offsets.append(size)
-                counts.append(len(tokens))
+                before.append(tokens_before)
                 out.write(record)
                 size += len(record)
+                tokens_before += len(tokens)
                 if size >= self.file_bytes:
                     close()
         close()
@@ -144,8 +151,7 @@ class RecordReader(DataSourceReader):
                 index = self._index(file["name"])
                 cuts = np.searchsorted(index[:, 0], np.arange(1, pieces) * self.split_bytes)
                 edges = np.unique(np.concatenate(([0], cuts, [len(index)])))
-                before = np.concatenate(([0], np.cumsum(index[:, 1])))
-                stretches += [Stretch(file["name"], int(i), int(j - i), start + int(before[i]))
+                stretches += [Stretch(file["name"], int(i), int(j - i), start + int(index[i, 1]))
                               for i, j in zip(edges[:-1], edges[1:])]
             start += file["tokens"]
         return stretches
@@ -177,6 +183,87 @@ class RecordReader(DataSourceReader):
                 at = to
 
 
+def permuted(positions: np.ndarray, total: int, seed: int) -> np.ndarray:
+    """The record number at each position of the shuffled order of ``total`` records.
+
+    Four rounds of a Feistel network permute the numbers below the next power of four; what falls beyond ``total`` goes
+    through them again, which leaves a permutation of the numbers below it.
+    """
+    half = np.uint64(max(1, (max(total - 1, 1).bit_length() + 1) // 2))
+    low = np.uint64((1 << int(half)) - 1)
+    out, open_ = positions.astype(np.uint64), np.arange(len(positions))
+    while len(open_):
+        left, right = out[open_] >> half, out[open_] & low
+        for turn in range(4):
+            key = mixed(np.array([seed * 4 + turn], dtype=np.int64).view(np.uint64))
+            left, right = right, left ^ (mixed(right + key) & low)
+        out[open_] = (left << half) | right
+        open_ = open_[out[open_] >= total]
+    return out.astype(np.int64)
+
+
+def read_ranges(file: pa.NativeFile, begins: np.ndarray, ends: np.ndarray, gap: int = 1 << 16) -> list[bytes]:
+    """The bytes of ascending ranges; near ones are read together."""
+    out: list[bytes] = []
+    cuts = np.flatnonzero(begins[1:] - ends[:-1] > gap) + 1
+    for first, last in zip(np.append(0, cuts), np.append(cuts, len(begins))):
+        file.seek(int(begins[first]))
+        data = file.read(int(ends[last - 1] - begins[first]))
+        out += [data[i:j] for i, j in zip((begins[first:last] - begins[first]).tolist(), (ends[first:last] - begins[first]).tolist())]
+    return out
+
+
+@dataclass
+class Positions(InputPartition):
+    first: int
+    records: int
+
+
+class ShuffledReader(DataSourceReader):
+    """The rows of ``RecordReader`` in an order that depends on the seed alone."""
+
+    def __init__(self, path: str, seed: int, split_bytes: int) -> None:
+        self.path, self.seed, self.files = path, seed, committed(path)
+        self.total = sum(f["records"] for f in self.files)
+        size = sum(f["bytes"] for f in self.files)
+        self.each = max(1, self.total * split_bytes // max(size, 1))
+
+    def partitions(self) -> list[Positions]:
+        return [Positions(i, min(self.each, self.total - i)) for i in range(0, self.total, self.each)]
+
+    def read(self, partition: Positions | None) -> Iterator[pa.RecordBatch]:
+        if partition is None or not partition.records:
+            return
+        # At most about 4 MB of records at a time.
+        step = max(1, min(partition.records, self.each * (4 << 20) // max(SPLIT_BYTES, 1)))
+        for begin in range(partition.first, partition.first + partition.records, step):
+            end = min(begin + step, partition.first + partition.records)
+            yield self._rows(permuted(np.arange(begin, end), self.total, self.seed))
+
+    def _rows(self, numbers: np.ndarray) -> pa.RecordBatch:
+        store, folder = files(self.path)
+        firsts = np.cumsum([0] + [f["records"] for f in self.files])
+        starts = np.cumsum([0] + [f["tokens"] for f in self.files])
+        order = np.argsort(numbers)
+        owner = np.searchsorted(firsts, numbers[order], side="right") - 1
+        found: list[tuple] = [()] * len(numbers)
+        for which in np.unique(owner):
+            file, mine = self.files[which], order[owner == which]
+            local = numbers[mine] - firsts[which]
+            with store.open_input_file(f"{folder}/{file['index']}") as index:
+                entries = read_ranges(index, local * 16, np.minimum(local + 2, file["records"]) * 16)
+            marks = [np.frombuffer(e, dtype="<u8").astype(np.int64).tolist() for e in entries]
+            offsets = np.array([m[0] for m in marks])
+            ends = np.array([m[2] if len(m) > 2 else file["bytes"] for m in marks])
+            with store.open_input_file(f"{folder}/{file['name']}") as data:
+                for place, mark, record in zip(mine.tolist(), marks, read_ranges(data, offsets, ends)):
+                    (doc_id, tokens), = unframed(memoryview(record))
+                    found[place] = (doc_id, int(starts[which]) + mark[1], len(tokens), tokens.astype("<u4").tobytes())
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)],
+                                          names=["doc_id", "start", "n_tokens", "ids"])
+
+
 class RecordSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -185,8 +272,11 @@ class RecordSource(DataSource):
     def schema(self) -> str:
         return "doc_id long, start long, n_tokens long, ids binary"
 
-    def reader(self, schema) -> RecordReader:
-        return RecordReader(self.options["path"], int(self.options.get("split_bytes", SPLIT_BYTES)))
+    def reader(self, schema) -> RecordReader | ShuffledReader:
+        split_bytes = int(self.options.get("split_bytes", SPLIT_BYTES))
+        if "seed" in self.options:
+            return ShuffledReader(self.options["path"], int(self.options["seed"]), split_bytes)
+        return RecordReader(self.options["path"], split_bytes)
 
     def writer(self, schema, overwrite: bool) -> RecordWriter:
         return RecordWriter(self.options["path"], int(self.options.get("width", 4)),
@@ -225,14 +315,18 @@ def write_documents(docs: DataFrame, vocabulary: str, path: str, *, end_token: i
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     docs.sparkSession.dataSource.register(RecordSource)
-    # Texts are smaller than their tokens, so these travel, and each range is encoded where it is written.
-    ordered = texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Texts are smaller than their tokens, so these travel, and each range is encoded where it is written. The beginnings of
+    # texts part rows of one id or of none, and are short enough for the sample that finds the ranges.
+    ordered = (texts(docs).repartitionByRange("doc_id", F.substring("text", 1, 64))
+               .sortWithinPartitions("doc_id", "text"))
     with open(vocabulary, encoding="utf-8") as file:
         largest = max([end_token, *json.load(file)["model"]["vocab"].values()])
     (ordered.mapInArrow(run, "doc_id long, ids binary").write.format("token_records").mode("append")
      .option("path", path).option("width", 2 if largest < 1 << 16 else 4).save())
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
+def read(spark: SparkSession, path: str, seed: int | None = None) -> DataFrame:
+    """All records in their order, or with a ``seed`` in a shuffled one: partition by partition, row by row."""
     spark.dataSource.register(RecordSource)
-    return spark.read.format("token_records").option("path", path).load()
+    reader = spark.read.format("token_records").option("path", path)
+    return (reader if seed is None else reader.option("seed", seed)).load()

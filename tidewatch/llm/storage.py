@@ -13,19 +13,38 @@ from pyspark.sql.datasource import DataSourceArrowWriter, WriterCommitMessage
 
 
 def shared_folder(spark: SparkSession, kind: str) -> str:
-    """A new folder below the one that ``spark.checkpoint.dir`` names; a local one only where it names none."""
+    """A new folder below the one that ``spark.checkpoint.dir`` names.
+
+    Where it names none, a session on one machine takes a temporary folder; on a cluster, whose executors would each
+    write to a disk of their own, that is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tidewatch-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, kind: str) -> DataFrame:
-    """The frame written to the shared folder as Parquet and read again: computed once, without lineage."""
-    folder = shared_folder(df.sparkSession, kind)
+def stored(df: DataFrame, kind: str, replaces: DataFrame | None = None) -> DataFrame:
+    """The frame written to the shared folder as Parquet and read again: computed once, without lineage.
+
+    ``replaces`` is a stored frame that nothing but ``df`` still needs: its files go once ``df`` is written.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark, kind)
     df.write.option("compression", "zstd").parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    out = spark.read.schema(df.schema).parquet(folder)
+    out.stored_in = folder
+    if replaces is not None:
+        discard(spark, replaces.stored_in)
+    return out
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def files(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:

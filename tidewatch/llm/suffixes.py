@@ -378,7 +378,7 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFI
 
 
 def clean(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX, group: int = GROUP) -> DataFrame:
-    """The documents, all columns, without their repeated passages; a text may come out empty."""
+    """The documents, all columns, without passages of ``length`` bytes or more that repeat; a text may come out empty."""
     found = repeated_spans(documents(docs), length=length, prefix=prefix, group=group)
     schema = docs.schema
     text = F.coalesce("text", F.lit(""))

@@ -5,7 +5,7 @@ Confirmed toxic documents are the positives, all documents the unlabelled mixtur
 first four, five or six bytes of a longer word, occur in a text, and whether they occur again. The features that set the positives most clearly
 apart are kept, and their weights minimise the positive-unlabelled risk, whose negative part is held above zero so that
 the classifier cannot gain by fitting the positives that hide in the mixture. The class prior is the share of toxic
-rows among the labelled ones.
+rows among the labelled ones, with half a row added to either side, so that it is neither 0 nor 1.
 
 Null and empty texts and texts without words get the score of the intercept alone. Without any confirmed row all
 scores are 0. Labels that are null count as no label; repeated label rows are toxic if one of them is.
@@ -117,7 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, positives: int = POSITIVES, unlab
     known, toxic = marks.agg(F.count("*"), F.count_if(F.col("toxic") == 1)).first()
     if not toxic:
         return Model(np.zeros(0, dtype=np.int64), np.zeros(0), -30.0)
-    prior = min(max(toxic / known, 1e-4), 0.5)
+    prior = (toxic + 0.5) / (known + 1)
     confirmed = F.broadcast(_sample(marks.filter("toxic = 1"), positives).select("doc_id").distinct())
     toxic_rows = _feature_rows(learn.join(confirmed, "doc_id", "left_semi"))
     if not toxic_rows:

@@ -10,14 +10,16 @@ A pair counts for both vectors whichever of them probes the other's list. Equal
 copies. Lists and the vectors that probe them are cut into blocks, so no task holds more than two blocks, however
 large a list is; tasks give one row per vector: its links, and the smallest id of its connected vectors there.
 
-Vectors that are null, zero, hold null or non-finite components, or differ in length from the most common one link
-with nothing. Repeated ids are one vector per row. An empty table gives no rows. Rows without an id have no component.
+Vectors that are null, zero, or hold null or non-finite components link with nothing. Vectors of different lengths do not
+link; those of each length are searched on their own, with an index of their own. Components may be as large or as small
+as a double can be. Repeated ids are one vector per row. An empty table gives no rows. Rows without an id have no component.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -88,8 +90,10 @@ def train(sample: np.ndarray, n_lists: int, subspaces: int = SUBSPACES) -> Index
     return Index(centroids, books)
 
 
-def unit(column: pa.Array) -> np.ndarray:
-    rows = np.array(column.flatten(), dtype=np.float64).reshape(len(column), -1)
+def unit(rows: np.ndarray) -> np.ndarray:
+    """Each row divided by its length, after a power of two that keeps the squares of its components in range."""
+    _, power = np.frexp(np.abs(rows).max(axis=1, keepdims=True, initial=0))
+    rows = np.ldexp(rows, -power)
     return rows / np.sqrt((rows ** 2).sum(axis=1, keepdims=True))
 
 
@@ -134,24 +138,37 @@ def link_block(members: dict[str, np.ndarray], queries: dict[str, np.ndarray], i
 def near_duplicates(vectors: DataFrame, *, threshold: float = THRESHOLD, probes: int = PROBES,
                     sample: int = SAMPLE) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
-    spark = vectors.sparkSession
     base = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    usable = (F.col("vec_id").isNotNull() & F.coalesce((square > 0) & (square < float("inf")), F.lit(False))
-              & ~F.exists("v", lambda x: x.isNull() | F.isnan(x)))
-    common = base.filter(usable).groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    usable = usable & (F.size("v") == F.lit(common.n if common else 0))
+    usable = (F.col("vec_id").isNotNull() & F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False))
+              & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))))
     classes = base.filter(usable).groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
     member = base.filter(usable).join(classes, "v").select("vec_id", "id", "copies")
     classes = stored(classes, "vectors")
-    total = classes.count()
-    if not total:
+    totals = classes.groupBy(F.size("v").alias("n")).count().orderBy("n").collect()  # a row per length of vector
+    if not totals:
         return base.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                            F.lit(True).alias("kept"))
+    found = reduce(DataFrame.union, [
+        _links(classes.filter(F.size("v") == n) if len(totals) > 1 else classes, total, threshold, probes, sample)
+        for n, total in totals])
+    links = found.groupBy("id").agg(F.sum("links").alias("links"))
+    joined = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
+    result = (member.join(links, "id", "left").join(joined, "id", "left").select(
+        F.col("vec_id").alias("m"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+        F.coalesce("component", "id").alias("component_id")).distinct())
+    out = base.select("vec_id").join(result, F.col("vec_id") == F.col("m"), "left")
+    component = F.coalesce("component_id", "vec_id")
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                      component.alias("component_id"),
+                      F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+
+
+def _links(classes: DataFrame, total: int, threshold: float, probes: int, sample: int) -> DataFrame:
+    """(id, links, root) of the distinct vectors, all of one length, that link with another."""
+    spark = classes.sparkSession
     chosen = classes.orderBy(F.xxhash64("id"), "id").limit(sample).select("v")
     trained = np.array([row.v for row in chosen.toLocalIterator()], dtype=np.float64)
-    trained /= np.sqrt((trained ** 2).sum(axis=1, keepdims=True))
-    index = train(trained, max(1, min(LISTS, len(trained) // 16, total // 64)))
+    index = train(unit(trained), max(1, min(LISTS, len(trained) // 16, total // 64)))
     shared = spark.sparkContext.broadcast(index)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +176,7 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = THRESHOLD, probes:
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
-                v = unit(batch.column("v"))
+                v = unit(np.array(batch.column("v").flatten(), dtype=np.float64).reshape(batch.num_rows, -1))
                 lists = index.lists(v, probes)
                 codes, error = index.encode(v - index.centroids[lists[:, 0]])
                 yield pa.RecordBatch.from_arrays(
@@ -203,14 +220,4 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = THRESHOLD, probes:
         return pa.table({"id": pa.array(ids, pa.int64()), "links": pa.array(links, pa.int64()),
                          "root": pa.array(root, pa.int64())})
 
-    found = stored(sides.groupBy("list", "x", "q").applyInArrow(link, "id long, links long, root long"), "links")
-    links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    joined = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    result = (member.join(links, "id", "left").join(joined, "id", "left").select(
-        F.col("vec_id").alias("m"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-        F.coalesce("component", "id").alias("component_id")).distinct())
-    out = base.select("vec_id").join(result, F.col("vec_id") == F.col("m"), "left")
-    component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                      component.alias("component_id"),
-                      F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+    return stored(sides.groupBy("list", "x", "q").applyInArrow(link, "id long, links long, root long"), "links")

@@ -10,14 +10,20 @@ are thrown away.
 Writing takes (page_id, url, record_type, refers_to, payload_digest, payload_bytes, payload) rows. A revisit holds no
 payload, only the digest and the size of the one it repeats, and the id of the record that has it.
 
+Archives of other writers are read alike: ``record_id``, ``refers_to_id``, ``date`` and ``content_type`` hold their
+headers as they are, and only this writer's ids become ``page_id`` and ``refers_to``. A payload is what follows the HTTP
+headers where the record says that it holds HTTP, else the whole block.
+
 Null payloads are empty. Null ids are written as ``null`` and read back as null; null addresses are left out. Line
-breaks within an address are percent-encoded. An empty table makes an archive without records.
+breaks within an address are percent-encoded. An empty table makes an archive without records. A record's payload is
+held in memory as a whole. A damaged or cut-off file raises an error that names it and the place of the record.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import re
 import struct
 import uuid
 import zlib
@@ -35,7 +41,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter
 from tidewatch.llm.storage import ManifestWriter, Written, committed, files
 
 SCHEMA = ("page_id long, record_type string, target_uri string, refers_to long, payload_digest string, "
-          "payload_bytes long, payload binary")
+          "payload_bytes long, payload binary, record_id string, refers_to_id string, date string, content_type string")
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID = "urn:x-page:"
@@ -65,8 +71,9 @@ def _written(number: int | None) -> str:
 
 
 def _read_id(text: str | None) -> int | None:
-    number = (text or "").strip("<>").removeprefix(ID)
-    return int(number) if number.lstrip("-").isdigit() else None
+    name = (text or "").strip("<>")
+    number = name.removeprefix(ID)
+    return int(number) if name.startswith(ID) and number.lstrip("-").isdigit() else None
 
 
 def member(data: bytes, level: int) -> bytes:
@@ -214,9 +221,27 @@ def columns(fields: dict[str, str]) -> dict[str, Any]:
     if digest is not None and digest.lower().startswith("sha1:") and len(digest) == 37:
         digest = base64.b32decode(digest[5:].upper()).hex()
     size = fields.get("x-payload-length")
+    if size is None and not holds_http(fields):
+        size = fields.get("content-length")
     return {"page_id": _read_id(fields.get("warc-record-id")), "record_type": fields.get("warc-type"),
             "target_uri": fields.get("warc-target-uri"), "refers_to": _read_id(fields.get("warc-refers-to")),
-            "payload_digest": digest, "payload_bytes": int(size) if size else None}
+            "payload_digest": digest, "payload_bytes": int(size) if size else None,
+            "record_id": fields.get("warc-record-id"), "refers_to_id": fields.get("warc-refers-to"),
+            "date": fields.get("warc-date"), "content_type": fields.get("content-type")}
+
+
+def holds_http(fields: dict[str, str]) -> bool:
+    return fields.get("content-type", "").partition(";")[0].strip().lower() == "application/http"
+
+
+def payload_of(block: bytes, fields: dict[str, str]) -> bytes | None:
+    """What a record holds: the body of an HTTP message, any other block whole; a revisit's is elsewhere."""
+    if fields.get("warc-type") == "revisit":
+        return None
+    if not holds_http(fields):
+        return block
+    end = re.search(rb"\r?\n\r?\n", block)
+    return block[end.end():] if end else b""
 
 
 class WarcReader(DataSourceReader):
@@ -246,21 +271,40 @@ class WarcReader(DataSourceReader):
         store, folder = files(self.path)
         packed = partition.name.endswith(".gz")
         with store.open_input_file(f"{folder}/{partition.name}") as file:
-            source = Bytes(file)
+            source, number = Bytes(file), 0
             while source.peek(1):
-                part = Member(source) if packed else Plain(source)
-                fields, rest = headers(part)
-                left = int(fields.get("content-length") or 0) + 4 - len(rest)
-                if isinstance(part, Plain):
-                    part.source.at += min(left, 0)  # read into the next record
-                    part.left = max(left, 0)
-                row = columns(fields)
-                if all(row[k] in v for k, v in self.allowed.items()):
-                    if "payload" in self.wanted:
-                        block = (rest + part.read(max(left, 0)))[:int(fields.get("content-length") or 0)]
-                        row["payload"] = None if row["record_type"] == "revisit" else block.partition(b"\r\n\r\n")[2]
-                    yield tuple(row[k] for k in self.wanted)
-                part.close()
+                try:
+                    row = self._record(Member(source) if packed else Plain(source))
+                except (ValueError, zlib.error) as error:
+                    raise ValueError(f"{partition.name}: record {number}: {error}") from error
+                number += 1
+                if row is not None:
+                    yield row
+
+    def _record(self, part: Member | Plain) -> tuple | None:
+        """The columns asked for, None where the headers fail a predicate; the file is behind the record then."""
+        fields, rest = headers(part)
+        size = int(fields.get("content-length") or 0)
+        left = size + 4 - len(rest)
+        if isinstance(part, Plain):
+            part.source.at += min(left, 0)  # read into the next record
+            part.left = max(left, 0)
+        row, found = columns(fields), None
+        # Other writers do not state how long the body of an HTTP message is.
+        unsized = "payload_bytes" in self.wanted and row["payload_bytes"] is None and row["record_type"] != "revisit"
+        needed = unsized or "payload_bytes" in self.allowed and row["payload_bytes"] is None
+        if needed or all(row[k] in v for k, v in self.allowed.items()):
+            if "payload" in self.wanted or needed:
+                block = (rest + part.read(max(left, 0)))[:size]
+                if len(block) < size:
+                    raise ValueError("cut-off record")
+                row["payload"] = payload_of(block, fields)
+                if row["payload_bytes"] is None and row["payload"] is not None:
+                    row["payload_bytes"] = len(row["payload"])
+            if all(row[k] in v for k, v in self.allowed.items()):
+                found = tuple(row[k] for k in self.wanted)
+        part.close()
+        return found
 
 
 class WarcSource(DataSource):
