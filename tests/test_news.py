@@ -1,5 +1,6 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
 from samples import events
 
 from tidewatch.operators import news
@@ -88,3 +89,27 @@ def test_keyword_ranking_counts_repeated_urls_and_keeps_first_appearance(spark):
     )
     ranked = news.top_mentions_keywords(frame, n=3, stop_words=[]).collect()
     assert [(r["keyword"], r["n"]) for r in ranked] == [("market", 3), ("apple", 2), ("zebra", 1)]
+
+
+def test_equal_ids_and_no_ids_leave_one_row_per_place(spark):
+    """A load that came twice, an id used twice, and places whose events have no id at all."""
+    rows = [dict(GlobalEventID=5, EventCode="020", SOURCEURL="b"), dict(GlobalEventID=5, EventCode="010", SOURCEURL="z"),
+            dict(GlobalEventID=5, EventCode="010", SOURCEURL="c"), dict(GlobalEventID=None, EventCode="001"),
+            dict(GlobalEventID=7, EventCode="000")]
+    rows += [dict(GlobalEventID=None, EventCode=c, ActionGeo_Lat=0.0, SOURCEURL=u) for c, u in (("030", "q"), ("030", None), ("040", "a"))]
+    rows += [dict(GlobalEventID=9, ActionGeo_Lat=-0.0, EventCode="050"), dict(ActionGeo_Lat=None), dict(ActionGeo_Long=float("nan"))]
+    frame = events(spark, *rows)
+    for twice in (frame, frame.unionByName(frame)):
+        found = {(r.ActionGeo_Lat, str(r.ActionGeo_Long)): (r.EventCode, r.SOURCEURL) for r in news.geo_analysis(twice).collect()}
+        assert found == {(1.5, "2.5"): ("010", "c"), (0.0, "2.5"): ("050", "https://x.org/one"), (1.5, "nan"): ("010", "https://x.org/one")}
+        assert news.geo_analysis(twice).count() == 3
+    lost = frame.where("GlobalEventID is null")
+    assert [(r.EventCode, r.SOURCEURL) for r in news.geo_analysis(lost.where("ActionGeo_Lat = 0")).collect()] == [("030", None)]
+
+
+def test_a_crowd_without_ids_at_one_place_sends_a_row_per_task(spark):
+    crowd = events(spark, dict(GlobalEventID=None)).crossJoin(spark.range(0, 30000, 1, 8)).withColumn(
+        "SOURCEURL", F.lpad(F.col("id").cast("string"), 6, "0"))
+    found = news.geo_analysis(crowd)
+    assert [(r.NumMentions, r.SOURCEURL) for r in found.collect()] == [(30000, "000000")]
+    assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()

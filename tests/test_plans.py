@@ -36,8 +36,9 @@ def test_no_cross_joins_no_python_and_no_unbounded_broadcast(spark, name):
         text = plan(QUERIES[name](spark, FOLDER))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "MapInArrow"):
         assert node not in text
-    # The winners of a top-k are the only side ever broadcast by hint.
-    assert text.count("BroadcastExchange") == ("authors" in name)
+    # The winners of a top-k and the cut-offs of a search are the only sides ever broadcast by hint.
+    hinted = "authors" in name or name in ("serve_geo_events_in_range", "search_posts_capped")
+    assert ("BroadcastExchange" in text) == hinted
 
 
 @pytest.mark.parametrize("name, parser", [
@@ -60,7 +61,22 @@ def test_measures_combine_before_the_shuffle_and_columns_are_pruned(spark, tmp_p
     stored = spark.read.parquet(str(tmp_path / "e"))
     text = plan(news.trend_analysis(stored))
     assert "partial_sum(NumMentions" in text and "ReadSchema: struct<NumMentions:int>" in text
-    assert "partial_min(struct(" in plan(news.geo_analysis(stored))
+    text = plan(news.place_counts(stored))
+    assert "partial_min(GlobalEventID" in text
+    assert "ReadSchema: struct<GlobalEventID:int,GoldsteinScale:double,ActionGeo_Lat:double,ActionGeo_Long:double>" in text
+
+
+def test_places_are_counted_without_sorting_events(spark, tmp_path):
+    """Numbers are combined in hash tables; what representative events say is fetched for the places alone."""
+    frame = with_event_date(events(spark, dict()))
+    frame.write.partitionBy("event_date").parquet(str(tmp_path / "e"))
+    stored = spark.read.parquet(str(tmp_path / "e"))
+    for found in (news.geo_analysis(stored), serving.serve_geo(None, "2024-01-01", "2024-01-31", events=stored)):
+        text = plan(found)
+        assert "SortAggregate" not in text and "ObjectHashAggregate" not in text and "HashAggregate" in text
+    # A request moves the winners to the events, and no event anywhere but to the choice among its place's first ones.
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert text.count("PartitionFilters: [isnotnull(event_date") == 2
 
 
 def test_a_live_range_reaches_the_files(spark, tmp_path):
@@ -86,11 +102,16 @@ def test_top_k_never_sorts_everything(spark, frame):
     assert "TakeOrderedAndProject" in plan(frame(spark))
 
 
-def test_the_cap_ranks_inside_slices_first(spark):
+def test_the_cap_moves_only_posts_of_the_cut_off_second(spark):
+    """Before them lie counts per second, and posts that are filtered by a cut-off on their way out of the scan."""
     with settings(spark, adaptive_enabled="false"):
         text = plan(search.search_posts(posts(spark, dict()), None, "2024-01-01", "2024-01-31", limit=10_000))
     exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
-    assert len(exchanges) == 3 and all("_slice" in line for line in exchanges)
+    ranked = [line for line in exchanges if "_slice" in line]
+    assert len(ranked) == 3 and all("_second" in line or "window_start" in line for line in exchanges)
+    early, tied = text.split("_slice", 1)[0], text.rsplit("_slice", 1)[1]
+    assert "Window" in early and "BroadcastHashJoin" in early and "BroadcastHashJoin" in tied
+    assert "BroadcastHashJoin [_at#" in tied  # the cut-off second is part of the join
 
 
 def test_a_hot_url_and_a_hot_token_are_split(spark):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions import dates
@@ -68,36 +68,52 @@ def news_daily_mentions(events: DataFrame) -> DataFrame:
     return _by_day(events, total_mentions=_mentions()).drop("events")
 
 
-def geo_analysis(events: DataFrame) -> DataFrame:
-    """Events per exact coordinate pair with mean impact and one representative event.
+def place_counts(events: DataFrame) -> DataFrame:
+    """Events per exact coordinate pair with mean impact, and the lowest id among them as ``first_id``.
 
-    The representative is the event with the lowest id, taken whole, as the minimum of a
-    struct. That combines before the shuffle, so a crowded place sends one row per task.
+    Only numbers of fixed width, so tasks combine them in a hash table, without sorting.
     """
-    day = F.col("event_date") if "event_date" in events.columns else F.col("SQLDATE")
-    first = F.struct(
-        F.col("GlobalEventID").isNull().alias("unnumbered"),
-        "GlobalEventID", "EventCode", "SOURCEURL", day.alias("day"),
-    )
-    date = F.col("first.day") if "event_date" in events.columns else dates.parse_day(F.col("first.day"))
     return (
         events.where(F.col("ActionGeo_Lat").isNotNull() & F.col("ActionGeo_Long").isNotNull())
         .groupBy("ActionGeo_Lat", "ActionGeo_Long")
         .agg(
             F.avg("GoldsteinScale").alias("AvgImpact"),
             F.count(F.lit(1)).alias("NumMentions"),
-            F.min(first).alias("first"),
+            F.min("GlobalEventID").alias("first_id"),
         )
+    )
+
+
+def with_first_event(places: DataFrame, events: DataFrame) -> DataFrame:
+    """``place_counts``, or some of its rows, with code, URL and date of each place's event of the lowest id.
+
+    What an event says is fetched for these places alone. An id that a repeated load brought again, and a place whose
+    events have no id, give their lowest code, URL and day; every task sends one row of a place for that choice.
+    """
+    typed = "event_date" in events.columns
+    told = events.select(
+        F.col("ActionGeo_Lat").alias("_lat"), F.col("ActionGeo_Long").alias("_long"), F.col("GlobalEventID").alias("_id"),
+        "EventCode", "SOURCEURL", (F.col("event_date") if typed else F.col("SQLDATE")).alias("_day"),
+    ).where(F.col("_lat").isNotNull() & F.col("_long").isNotNull())
+    same = ((F.col("ActionGeo_Lat") == F.col("_lat")) & (F.col("ActionGeo_Long") == F.col("_long"))
+            & F.col("first_id").eqNullSafe(F.col("_id")))
+    one = Window.partitionBy("ActionGeo_Lat", "ActionGeo_Long").orderBy("EventCode", "SOURCEURL", "_day")
+    return (
+        told.join(places, same)
+        .withColumn("_place", F.row_number().over(one)).where("_place = 1")
         .select(
-            "ActionGeo_Lat", "ActionGeo_Long", "AvgImpact", "NumMentions",
-            F.col("first.EventCode").alias("EventCode"),
-            F.col("first.SOURCEURL").alias("SOURCEURL"),
-            date.alias("Date"),
+            "ActionGeo_Lat", "ActionGeo_Long", "AvgImpact", "NumMentions", "EventCode", "SOURCEURL",
+            (F.col("_day") if typed else dates.parse_day(F.col("_day"))).alias("Date"),
         )
-        .orderBy(F.desc("NumMentions"), "ActionGeo_Lat", "ActionGeo_Long")
     )
 
 
+def geo_analysis(events: DataFrame) -> DataFrame:
+    """Events per exact coordinate pair with mean impact and one representative event, that with the lowest id."""
+    return with_first_event(place_counts(events), events).orderBy(
+        F.desc("NumMentions"), "ActionGeo_Lat", "ActionGeo_Long")
+
+
 def total_mentions() -> Column:
     """Mentions, sources and articles together; null when any of them is."""
     return F.col("NumMentions").cast("long") + F.col("NumSources") + F.col("NumArticles")

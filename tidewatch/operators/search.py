@@ -11,6 +11,8 @@ from tidewatch.functions import dates
 from tidewatch.operators.keywords import match_columns, term_columns
 
 WINDOW_DAYS = 3
+# Windows of a search, for each of a few platforms, up to which their cut-offs go to every task.
+BROADCAST_WINDOWS = 10_000
 # What parts the words of a post.
 EDGE = r"[^\p{L}\p{N}_]"
 
@@ -32,14 +34,15 @@ def matches(content: Column, term: DataFrame | list[str] | None) -> Column:
 
 
 def capped(df: DataFrame, groups: list[str], order: list[Column], limit: int, unique: str,
-           fan: int = 64, levels: int = 2) -> DataFrame:
+           fan: int = 64, levels: int = 2, places: str | None = None) -> DataFrame:
     """The first ``limit`` rows of every group, exactly, without gathering a group in one task.
 
     Rows are ranked inside ``fan ** levels`` random slices of a group, survivors inside
     ``fan`` times fewer, down to the group itself, so the last task of a group sees at most
     ``fan * limit`` rows. A row among the first ``limit`` of its group is among the first
     ``limit`` of any slice, so how rows fall into slices never changes the result. The
-    slice mixes in the partition number to spread copies of one row as well.
+    slice mixes in the partition number to spread copies of one row as well. ``places`` names a
+    column that keeps each row's place in its group.
     """
     slices = fan ** levels
     df = df.withColumn("_slice", F.pmod(F.xxhash64(unique, F.spark_partition_id()), F.lit(slices)))
@@ -47,7 +50,40 @@ def capped(df: DataFrame, groups: list[str], order: list[Column], limit: int, un
         df = df.withColumn("_slice", F.pmod(F.col("_slice"), F.lit(fan ** level)))
         ranked = Window.partitionBy(*groups, "_slice").orderBy(*order)
         df = df.withColumn("_place", F.row_number().over(ranked)).where(F.col("_place") <= limit)
-    return df.drop("_slice", "_place")
+    return df.drop("_slice").withColumnRenamed("_place", places) if places else df.drop("_slice", "_place")
+
+
+def cut_offs(found: DataFrame, groups: list[str], limit: int) -> DataFrame:
+    """The second in which each group reaches ``limit`` rows, as ``_cut``, and how many it may still take of it.
+
+    Rows are counted per second first, so the running sum goes over these counts alone. Groups below the limit have none.
+    """
+    seconds = found.groupBy(*groups, F.unix_timestamp("created_at").alias("_second")).agg(F.count(F.lit(1)).alias("_rows"))
+    so_far = Window.partitionBy(*groups).orderBy("_second").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        seconds.withColumn("_total", F.sum("_rows").over(so_far))
+        .where((F.col("_total") >= limit) & (F.col("_total") - F.col("_rows") < limit))
+        .select(*(F.col(g).alias(f"_{g}") for g in groups), F.col("_second").alias("_cut"),
+                (F.lit(limit) - F.col("_total") + F.col("_rows")).alias("_open"))
+    )
+
+
+def first_posts(found: DataFrame, groups: list[str], limit: int, *, bounded_groups: bool = False) -> DataFrame:
+    """The first ``limit`` posts of every group by time, then by id; exact, and without moving the others.
+
+    Posts before the cut-off second pass, those after it go. Only those within it are ranked, by ``capped``, since
+    any number of posts may share a second. ``bounded_groups`` says that the groups are few enough for their cut-offs,
+    a row each, to be sent to every task.
+    """
+    cuts = cut_offs(found, groups, limit)
+    same = F.lit(True)
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
+    marked = found.withColumn("_at", F.unix_timestamp("created_at")).join(F.broadcast(cuts) if bounded_groups else cuts, same, "left")
+    early = marked.where(F.col("_cut").isNull() | (F.col("_at") < F.col("_cut")))
+    tied = capped(marked.where(F.col("_at") == F.col("_cut")), groups, [F.asc("created_at"), F.asc("post_id")], limit, "post_id",
+                  places="_rank").where(F.col("_rank") <= F.col("_open")).drop("_rank")
+    return early.unionByName(tied).select(*found.columns)
 
 
 def search_posts(posts: DataFrame, term: DataFrame | list[str] | None, since: dates.Moment,
@@ -70,4 +106,5 @@ def search_posts(posts: DataFrame, term: DataFrame | list[str] | None, since: da
     ).withColumn("window_start", window_start)
     if limit is None:
         return found
-    return capped(found, ["Platform", "window_start"], [F.asc("created_at"), F.asc("post_id")], limit, "post_id")
+    windows = (end - start) / dt.timedelta(days=window_days)
+    return first_posts(found, ["Platform", "window_start"], limit, bounded_groups=windows <= BROADCAST_WINDOWS)

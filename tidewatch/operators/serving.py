@@ -11,10 +11,14 @@ from pyspark.sql import types as T
 
 from tidewatch.functions import dates
 from tidewatch.functions.dates import Moment
-from tidewatch.operators.news import geo_analysis
+from tidewatch.operators.news import place_counts, with_first_event
 from tidewatch.operators.social import platform_engagement_distribution, top_authors_engagement
 
 
+# Places, of five numbers each, that a request may ask for and still have sent to every task.
+BROADCAST_PLACES = 10_000
+
+
 def _within(df: DataFrame, condition: Column | None) -> DataFrame:
     return df if condition is None else df.where(condition)
 
@@ -45,15 +49,18 @@ def serve_geo(table: DataFrame, start: Moment | None = None, end: Moment | None
     """The ``limit`` places with most events.
 
     The range looks at the date of a place's representative event, over counts of all time.
-    Given ``events``, it selects the events that are counted instead.
+    Given ``events``, it selects the events that are counted instead; what the representative events say is then fetched
+    for the winners alone.
     """
-    if events is not None:
-        day = F.col("event_date") if "event_date" in events.columns else dates.parse_day(F.col("SQLDATE"))
-        table = geo_analysis(_within(events, dates.day_in_range(day, start, end)))
-    else:
-        table = _within(table, dates.day_in_range(F.col("Date"), start, end))
-    top = table.orderBy(F.desc("NumMentions"), "ActionGeo_Lat", "ActionGeo_Long").limit(limit)
-    return _iso_date(top)
+    order = [F.desc("NumMentions"), F.asc("ActionGeo_Lat"), F.asc("ActionGeo_Long")]
+    if events is None:
+        return _iso_date(_within(table, dates.day_in_range(F.col("Date"), start, end)).orderBy(*order).limit(limit))
+    day = F.col("event_date") if "event_date" in events.columns else dates.parse_day(F.col("SQLDATE"))
+    events = _within(events, dates.day_in_range(day, start, end))
+    winners = place_counts(events).orderBy(*order).limit(limit)
+    if limit <= BROADCAST_PLACES:
+        winners = F.broadcast(winners)
+    return _iso_date(with_first_event(winners, events).orderBy(*order))
 
 
 def finite_only(df: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from tidewatch.operators.normalize import normalize, union_posts
 from tidewatch.schemas import CORRUPT_COLUMN, PLATFORMS
 from tidewatch.session import cut_lineage
 from tidewatch.sinks.tables import (
-    Status, append_rows, drop_loads, replace_partitions, replace_table, write_status,
+    Status, append_rows, replace_loads, replace_partitions, replace_table, write_status,
 )
 from tidewatch.sources import events as event_source
 from tidewatch.sources import posts as post_source
@@ -39,32 +39,41 @@ def file_load(path: str = "_metadata.file_path") -> Column:
     return F.concat(F.lit("f"), F.sha1(plain.cast("binary")))
 
 
-def _replaced(spark: SparkSession, files: list[str], table: str, within: str) -> None:
+def _load_names(spark: SparkSession, files: list[str]) -> list[str]:
     names = spark.createDataFrame([(f,) for f in files], "path string").select(file_load("path"))
-    drop_loads(spark, table, within, [row[0] for row in names.collect()])
+    return [row[0] for row in names.collect()]
+
+
+def _saved(rows: DataFrame, path: str, partition_by: list[str], sort_by: list[str] | None, replaces: list[str] | None) -> int:
+    """Append, or with names of loads, take their place."""
+    if replaces is None:
+        return append_rows(rows, path, partition_by, sort_by=sort_by)
+    return replace_loads(rows, path, partition_by, replaces, spark=rows.sparkSession, sort_by=sort_by)
 
 
 def load_events(spark: SparkSession, paths: str | list[str], root: str, *, by_file: bool = False) -> list[Status]:
     """Day files into the event and reject tables, counted and written in one pass.
 
     A repeated load appends its rows again unless ``by_file``, where it replaces all rows of
-    the same files, also those of days a corrected file no longer has. A load that breaks off
-    in between leaves these files without rows until it is repeated.
+    the same files, also those of days a corrected file no longer has. A load that fails
+    leaves the rows that these files gave before.
     """
     raw = event_source.read_events(spark, paths, keep_corrupt=True)
-    if by_file:
-        _replaced(spark, raw.inputFiles(), f"{root}/raw_events", "kind")
-    return save_events(raw.withColumn("load", file_load() if by_file else F.lit(f"a{uuid.uuid4().hex}")), root)
+    replaces = _load_names(spark, raw.inputFiles()) if by_file else None
+    return save_events(raw.withColumn("load", file_load() if by_file else F.lit(f"a{uuid.uuid4().hex}")), root, replaces)
+
 
+def save_events(raw: DataFrame, root: str, replaces: list[str] | None = None) -> list[Status]:
+    """Raw rows with their ``load`` into the event and reject partitions of one table.
 
-def save_events(raw: DataFrame, root: str) -> list[Status]:
-    """Raw rows with their ``load`` into the event and reject partitions of one table."""
+    With ``replaces``, what these loads gave before goes once the new rows are complete.
+    """
     raw, read = event_source.counted(raw, "read")
     rows = event_source.routed(event_source.with_audit(raw))
     kinds = Observation("kinds")
     rows = rows.observe(kinds, *(F.count_if(F.col("kind") == k).alias(k) for k in ("events", "rejects")))
     parts = ["kind", "load", "event_date"]
-    written = write_status("events", lambda: append_rows(rows, f"{root}/raw_events", parts, sort_by=EVENT_ORDER), empty_ok=True)
+    written = write_status("events", lambda: _saved(rows, f"{root}/raw_events", parts, EVENT_ORDER, replaces), empty_ok=True)
     if not written.ok:
         return [written]
     events = event_source.seen(kinds, "events")
@@ -103,15 +112,16 @@ def load_posts(spark: SparkSession, paths: str | list[str], root: str,
     load = file_load("file_path") if by_file else F.lit(f"a{uuid.uuid4().hex}")
     envelopes = {p: post_source.read_envelopes(spark, paths, p, keep_corrupt=True).withColumn("load", load)
                  for p in platforms}
-    if by_file:
-        files = sorted({f for e in envelopes.values() for f in e.inputFiles()})
-        for table in ("posts", "post_rejects"):
-            _replaced(spark, files, f"{root}/{table}", "Platform")
-    return save_posts(envelopes, root, options)
+    replaces = _load_names(spark, sorted({f for e in envelopes.values() for f in e.inputFiles()})) if by_file else None
+    return save_posts(envelopes, root, options, replaces)
+
 
+def save_posts(envelopes: dict[str, DataFrame], root: str, options: dict[str, dict] | None = None,
+               replaces: list[str] | None = None) -> list[Status]:
+    """Envelopes per platform, with their ``load``, into posts and rejects; the latter are read again only if there are any.
 
-def save_posts(envelopes: dict[str, DataFrame], root: str, options: dict[str, dict] | None = None) -> list[Status]:
-    """Envelopes per platform, with their ``load``, into posts and rejects; the latter are read again only if there are any."""
+    With ``replaces``, what these loads gave before goes, table by table, once the new rows are complete.
+    """
     marks, parts, rejects = {}, [], []
     for platform, files in envelopes.items():
         rejects.append(post_source.broken_files(files).withColumn("Platform", F.lit(platform)))
@@ -122,15 +132,17 @@ def save_posts(envelopes: dict[str, DataFrame], root: str, options: dict[str, di
         parts.append(normalize(post_source.unnest_hits(files, "load"), platform, **(options or {}).get(platform, {})))
     posts = union_posts(*parts).withColumn("post_date", F.to_date("created_at"))
     partitions = ["Platform", "load", "post_date"]
-    written = write_status("posts", lambda: append_rows(posts, f"{root}/posts", partitions, sort_by=POST_ORDER))
+    written = write_status("posts", lambda: _saved(posts, f"{root}/posts", partitions, POST_ORDER, replaces))
     if written.error:
         return [written]
     found = {kind: {p: event_source.seen(mark, kind) for p, mark in marks.items()} for kind in ("read", "truncated")}
     broken = Status("post_rejects", 0, True)
     # Where no file had a hit, nothing was counted on the way either.
     if any(event_source.seen(mark, "rejects", None) != 0 for mark in marks.values()):
-        broken = write_status("post_rejects", lambda: append_rows(
-            reduce(DataFrame.unionByName, rejects), f"{root}/post_rejects", ["Platform", "load"]), empty_ok=True)
+        broken = write_status("post_rejects", lambda: _saved(
+            reduce(DataFrame.unionByName, rejects), f"{root}/post_rejects", ["Platform", "load"], None, replaces), empty_ok=True)
+    elif replaces:
+        replace_loads(None, f"{root}/post_rejects", ["Platform", "load"], replaces, spark=posts.sparkSession)
     return [Status(f"{p}_read", n, True) for p, n in found["read"].items()] + [
         Status(f"{p}_truncated", n, True) for p, n in found["truncated"].items() if n] + [broken, written]
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions import dates
+from tidewatch.sinks.publish import publish, staged_folder
 from tidewatch.sources.events import counted, seen
 
 
@@ -51,27 +52,44 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> int
     return seen(rows)
 
 
-def drop_loads(spark: SparkSession, path: str, within: str, loads: list[str]) -> None:
-    """Remove the ``load`` partitions of these names below every ``within`` partition of a table.
+def replace_loads(df: DataFrame | None, path: str, partition_by: list[str], loads: list[str], *, spark: SparkSession,
+                  sort_by: list[str] | None = None) -> int:
+    """Append the rows and remove what the ``load`` partitions of these names held before, once the new rows are complete.
 
-    Unlike a dynamic overwrite this also removes days that the new rows no longer have.
+    ``partition_by`` begins with a kind and ``load``. Unlike a dynamic overwrite this also removes days and kinds that the
+    new rows no longer have. A write that fails leaves the table as it was; no frame at all only removes.
     """
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not store.exists(root):
-        return
-    for folder in store.listStatus(root):
-        if folder.getPath().getName().startswith(f"{within}="):
-            for load in loads:
-                store.delete(spark._jvm.org.apache.hadoop.fs.Path(folder.getPath(), f"load={load}"), True)
+    files, staged = staged_folder(spark, path)
+    try:
+        rows = 0 if df is None else append_rows(df, f"{files.root}/{staged}", partition_by, sort_by=sort_by)
+        new = {f"{kind}/{load}" for kind in files.folders(staged) for load in files.folders(f"{staged}/{kind}") if "=" in load}
+        kinds = [kind for kind in files.folders() if kind.startswith(f"{partition_by[0]}=")]
+        old = {f"{kind}/load={load}" for kind in kinds for load in loads if files.exists(f"{kind}/load={load}")}
+    except Exception:
+        files.remove(staged)
+        raise
+    if new | old:
+        publish(files, staged, [(place, place in new) for place in sorted(new | old)])
+    files.remove(staged)
+    return rows
 
 
 def replace_table(df: DataFrame, path: str, *, sort_by: list[str] | None = None) -> int:
-    """Replace a derived table; sorted files let a reader skip row groups by min and max."""
+    """Replace a derived table; sorted files let a reader skip row groups by min and max.
+
+    The old rows stay readable until the new ones are complete, so a table may also be computed from itself.
+    """
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
+    parent, _, name = path.rstrip("/").rpartition("/")
+    files, staged = staged_folder(df.sparkSession, parent or ".")
     df, rows = counted(df, "table")
-    df.write.mode("overwrite").parquet(path)
+    try:
+        df.write.parquet(f"{files.root}/{staged}/{name}")
+    except Exception:
+        files.remove(staged)
+        raise
+    publish(files, staged, [(name, True)])
     return seen(rows)
 
 

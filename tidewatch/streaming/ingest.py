@@ -11,25 +11,23 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.plans.refresh import save_events, save_posts
 from tidewatch.schemas import EVENT_SCHEMA, with_corrupt_column
-from tidewatch.sinks.tables import Status, drop_loads
+from tidewatch.sinks.publish import Files
+from tidewatch.sinks.tables import Status
 from tidewatch.sources.events import csv_options
 from tidewatch.sources.posts import stream_envelopes
 
 
-def _run(stream: DataFrame, save: Callable[[DataFrame], list[Status]], tables: dict[str, str],
-         checkpoint: str) -> StreamingQuery:
+def _run(stream: DataFrame, save: Callable[[DataFrame, list[str]], list[Status]], checkpoint: str) -> StreamingQuery:
     """Write every micro-batch as a load of its own, named after checkpoint and batch number.
 
-    Batch numbers restart with every checkpoint, so both are needed. A batch that is repeated
-    after a failure first removes what its earlier attempt left.
+    Batch numbers restart with every checkpoint, so both are needed; the checkpoint counts by its full address, however
+    it is spelled. A batch that is repeated after a failure takes the place of what its earlier attempt left.
     """
-    source = hashlib.sha1(checkpoint.encode()).hexdigest()[:16]
+    source = hashlib.sha1(Files(stream.sparkSession, checkpoint).root.encode()).hexdigest()[:16]
 
     def write(batch: DataFrame, number: int) -> None:
         load = f"s{source}-{number}"
-        for table, within in tables.items():
-            drop_loads(batch.sparkSession, table, within, [load])
-        for status in save(batch.withColumn("load", F.lit(load))):
+        for status in save(batch.withColumn("load", F.lit(load)), [load]):
             if status.error:
                 raise RuntimeError(f"{status.table}: {status.error}")
 
@@ -48,7 +46,7 @@ def ingest_events(spark: SparkSession, folder: str, root: str, checkpoint: str,
         spark.readStream.schema(with_corrupt_column(EVENT_SCHEMA)).options(**csv_options())
         .option("maxFilesPerTrigger", files_per_batch).csv(folder)
     )
-    return _run(stream, lambda batch: save_events(batch, root), {f"{root}/raw_events": "kind"}, checkpoint)
+    return _run(stream, lambda batch, replaces: save_events(batch, root, replaces), checkpoint)
 
 
 def ingest_posts(spark: SparkSession, folder: str, platform: str, root: str, checkpoint: str, *,
@@ -58,5 +56,5 @@ def ingest_posts(spark: SparkSession, folder: str, platform: str, root: str, che
     Every platform needs its own ``checkpoint``.
     """
     stream = stream_envelopes(spark, folder, platform, files_per_batch)
-    return _run(stream, lambda batch: save_posts({platform.lower(): batch}, root, {platform.lower(): options or {}}),
-                {f"{root}/posts": "Platform", f"{root}/post_rejects": "Platform"}, checkpoint)
+    return _run(stream, lambda batch, replaces: save_posts(
+        {platform.lower(): batch}, root, {platform.lower(): options or {}}, replaces), checkpoint)
