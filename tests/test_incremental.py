@@ -1,0 +1,157 @@
+"""Derived tables from changed days equal those of a full refresh, and other days are not read."""
+
+import random
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+from raw import line, write_hits, write_lines
+from samples import at, events, posts
+
+from tidewatch.operators import cubes, news, serving, social
+from tidewatch.plans import incremental, refresh
+from tidewatch.sources.events import with_event_date
+
+TABLES = ("daily_insights", "geo_analysis", "trend_analysis", "top_mentions", "social_temporal_metrics",
+          "top_authors_engagement", "news_social_correlation")
+
+
+def rows(frame):
+    def cell(value):
+        return round(value, 9) if isinstance(value, float) else tuple(cell(v) for v in value) if isinstance(value, tuple) else value
+
+    return sorted((tuple(cell(v) for v in r) for r in frame.collect()), key=repr)
+
+
+def many_events(spark, n=400):
+    pick = random.Random(3)
+    return with_event_date(events(spark, *[dict(
+        GlobalEventID=None if i % 17 == 0 else i // 2, SQLDATE="nope" if i % 41 == 0 else f"202401{pick.randint(1, 9):02}",
+        GoldsteinScale=None if i % 7 == 0 else pick.uniform(-10, 10), AvgTone=pick.uniform(-5, 5),
+        NumMentions=None if i % 13 == 0 else pick.randrange(60), EventCode=f"{pick.randrange(30):03}",
+        ActionGeo_Lat=None if i % 19 == 0 else float(pick.randrange(4)), ActionGeo_Long=float(pick.randrange(3)),
+        SOURCEURL=None if i % 23 == 0 else f"https://x.org/{i}-storm-hits-coast") for i in range(n)]))
+
+
+def many_posts(spark, n=400):
+    pick = random.Random(4)
+    return posts(spark, *[dict(
+        Platform=pick.choice(["vk", "truth_social"]), post_id=f"p{i}", author_id=None if i % 29 == 0 else f"a{pick.randrange(25)}",
+        author_name=f"name {i}", created_at=None if i % 31 == 0 else at(f"2024-01-{pick.randint(1, 9):02}T{pick.randrange(24):02}:00:00"),
+        likes_count=None if i % 11 == 0 else pick.randrange(90), views_count=pick.choice([None, 5]),
+        is_sponsored=pick.choice([None, True, False]), total_engagement=pick.randrange(200)) for i in range(n)])
+
+
+def test_cubes_merge_into_what_all_rows_give(spark):
+    ev, po = many_events(spark), many_posts(spark)
+    dated = ev.where("event_date is not null")
+    assert rows(cubes.rollup_of(cubes.news_days(ev))) == rows(news.daily_news_rollup(ev))
+    assert rows(cubes.geo_analysis_of(cubes.place_days(dated))) == rows(news.geo_analysis(dated))
+    assert [tuple(r) for r in news.top_events(cubes.top_event_days(ev, 20), 20).collect()] == [
+        tuple(r) for r in news.top_events(ev, 20).collect()]
+    assert rows(cubes.social_rollup_of(cubes.author_days(po))) == rows(social.daily_social_rollup(po))
+    for by_platform in (False, True):
+        assert rows(cubes.top_authors_of(cubes.author_days(po), po, by_platform=by_platform)) == rows(
+            social.top_authors_engagement(po, by_platform=by_platform))
+
+
+@pytest.mark.parametrize("span", [(None, None), ("2024-01-03", "2024-01-06"), ("2024-01-09", "2024-01-09"), ("2025-01-01", "2025-01-02")])
+def test_a_range_of_places_is_served_from_the_cube_alone(spark, span, tmp_path):
+    ev = many_events(spark).where("event_date is not null")
+    cubes.place_days(ev).write.partitionBy("event_date").parquet(str(tmp_path / "cube"))
+    served = serving.serve_geo(None, *span, days=spark.read.parquet(str(tmp_path / "cube")), limit=7)
+    assert rows(served) == rows(serving.serve_geo(None, *span, events=ev, limit=7))
+    if span[0]:
+        assert "PartitionFilters: [isnotnull(event_date" in served._jdf.queryExecution().executedPlan().toString()
+
+
+def test_authors_are_served_by_platform(spark):
+    frame = posts(spark, dict(Platform="vk", total_engagement=5), dict(Platform="truth_social", total_engagement=7))
+    assert [(r.author, r.engagement) for r in serving.serve_top_authors(None, posts=frame).collect()] == [("Ann", 12)]
+    split = serving.serve_top_authors(None, posts=frame, by_platform=True).collect()
+    assert [(r.Platform, r.engagement) for r in split] == [("truth_social", 7), ("vk", 5)]
+
+
+def feed_day(folder, day, first, n=6):
+    pick = random.Random(first)
+    write_lines(folder / f"202401{day:02}.export.CSV", *[
+        line(GlobalEventID=first + i, SQLDATE=f"202401{day:02}", NumMentions=pick.randrange(50), NumSources=1, NumArticles=2,
+             GoldsteinScale=pick.randrange(10), AvgTone=-1, ActionGeo_Lat=i % 2, ActionGeo_Long=2, EventCode="010", EventRootCode="01",
+             SOURCEURL=f"https://x.org/storm-hits-{'coast' if i % 2 else 'town'}") for i in range(n)])
+    write_hits(folder / f"vk_{day}.json", *[{"id": f"{first}{i}", "from_id": f"u{i % 4}", "author": f"U{i % 4}", "text": "storm",
+                                             "date": 1704067200 + 86400 * (day - 1) + i, "likes": {"count": pick.randrange(9)}} for i in range(n)])
+
+
+@pytest.fixture
+def loaded(spark, tmp_path):
+    folder, root = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    for day in (5, 6, 7):
+        feed_day(folder, day, day * 100)
+    load(spark, folder, root)
+    return folder, root
+
+
+def load(spark, folder, root, day=None):
+    refresh.load_events(spark, str(folder / f"*{day or ''}.export.CSV"), root, by_file=True)
+    refresh.load_posts(spark, str(folder / f"vk_{day or '*'}.json"), root, by_file=True)
+
+
+def tables(spark, root):
+    return {t: rows(spark.read.parquet(f"{root}/{t}").select(*sorted(spark.read.parquet(f"{root}/{t}").columns))) for t in TABLES}
+
+
+def full(spark, root, other):
+    statuses, ranking = refresh.refresh_all(refresh.stored_events(spark, root), refresh.stored_posts(spark, root), other, stop_words=[])
+    assert refresh.succeeded(statuses)
+    return tables(spark, other), [tuple(r) for r in ranking.select("keyword", "n").collect()]
+
+
+def test_changed_days_give_what_a_full_refresh_gives(spark, loaded, tmp_path):
+    folder, root = loaded
+    for step in range(4):
+        if step == 1:
+            feed_day(folder, 6, 650)  # a corrected day
+            load(spark, folder, root, 6)
+        elif step == 2:
+            feed_day(folder, 8, 800)  # a new one
+            load(spark, folder, root, 8)
+        elif step == 3:
+            write_lines(folder / "20240107.export.CSV", line(GlobalEventID=1, SQLDATE="20240105"))  # the day's events are gone
+            load(spark, folder, root, 7)
+        changed = incremental.changed_days(spark, root)
+        assert changed["events"].days == [["2024-01-05", "2024-01-06", "2024-01-07"], ["2024-01-06"], ["2024-01-08"],
+                                          ["2024-01-05", "2024-01-07"]][step]
+        statuses, ranking = incremental.refresh_changed(spark, root, stop_words=[])
+        assert refresh.succeeded(statuses)
+        want, ranked = full(spark, root, str(tmp_path / f"full{step}"))
+        found = tables(spark, root)
+        # The pairing is an upsert in both: a day that is gone keeps its row.
+        gone = {r for r in found["news_social_correlation"] if step == 3 and r not in want["news_social_correlation"]}
+        assert len(gone) <= 1
+        found["news_social_correlation"] = [r for r in found["news_social_correlation"] if r not in gone]
+        assert found == want
+        assert [tuple(r) for r in ranking.select("keyword", "n").collect()] == ranked
+    assert all(not c.days for c in incremental.changed_days(spark, root).values())
+
+
+def test_other_days_are_not_read(spark, loaded, tmp_path):
+    """Every file of another day is overwritten in place with rows that would show in any table."""
+    folder, root = loaded
+    incremental.refresh_changed(spark, root, stop_words=[])
+    before = tables(spark, root)
+    wrong = str(tmp_path / "wrong")
+    refresh.stored_events(spark, root).drop("event_date").withColumn("NumMentions", F.lit(100000)).coalesce(1).write.parquet(wrong)
+    bad = next((tmp_path / "wrong").glob("*.parquet"))
+    for file in (tmp_path / "out" / "raw_events").rglob("*.parquet"):
+        shutil.copy(bad, file)
+        crc = file.with_name(f".{file.name}.crc")
+        crc.unlink(missing_ok=True)
+    feed_day(folder, 9, 900)
+    load(spark, folder, root, 9)
+    statuses, _ = incremental.refresh_changed(spark, root, stop_words=[])
+    assert refresh.succeeded(statuses)
+    after = tables(spark, root)
+    assert [r for r in after["trend_analysis"] if r in before["trend_analysis"]] == before["trend_analysis"]
+    assert len(after["trend_analysis"]) == 4
+    assert all(r not in repr(after) for r in ("100000",))

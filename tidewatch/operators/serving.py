@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidewatch.functions import dates
 from tidewatch.functions.dates import Moment
+from tidewatch.operators.cubes import place_counts_of
 from tidewatch.operators.news import place_counts, with_first_event
 from tidewatch.operators.social import platform_engagement_distribution, top_authors_engagement
 
@@ -44,23 +45,24 @@ def serve_correlation(table: DataFrame, start: Moment | None = None, end: Moment
     return _by_day(table, start, end)
 
 
-def serve_geo(table: DataFrame, start: Moment | None = None, end: Moment | None = None, *,
-              limit: int = 50, events: DataFrame | None = None) -> DataFrame:
+def serve_geo(table: DataFrame | None, start: Moment | None = None, end: Moment | None = None, *,
+              limit: int = 50, events: DataFrame | None = None, days: DataFrame | None = None) -> DataFrame:
     """The ``limit`` places with most events.
 
     The range looks at the date of a place's representative event, over counts of all time.
     Given ``events``, it selects the events that are counted instead; what the representative events say is then fetched
-    for the winners alone.
+    for the winners alone. ``days``, the cube of ``place_days``, gives the same without reading any event.
     """
     order = [F.desc("NumMentions"), F.asc("ActionGeo_Lat"), F.asc("ActionGeo_Long")]
-    if events is None:
+    if events is None and days is None:
         return _iso_date(_within(table, dates.day_in_range(F.col("Date"), start, end)).orderBy(*order).limit(limit))
-    day = F.col("event_date") if "event_date" in events.columns else dates.parse_day(F.col("SQLDATE"))
-    events = _within(events, dates.day_in_range(day, start, end))
-    winners = place_counts(events).orderBy(*order).limit(limit)
+    source = events if days is None else days
+    day = F.col("event_date") if "event_date" in source.columns else dates.parse_day(F.col("SQLDATE"))
+    source = _within(source, dates.day_in_range(day, start, end))
+    winners = (place_counts(source) if days is None else place_counts_of(source)).orderBy(*order).limit(limit)
     if limit <= BROADCAST_PLACES:
         winners = F.broadcast(winners)
-    return _iso_date(with_first_event(winners, events).orderBy(*order))
+    return _iso_date(with_first_event(winners, source).orderBy(*order))
 
 
 def finite_only(df: DataFrame) -> DataFrame:
@@ -82,14 +84,15 @@ def serve_social_metrics(table: DataFrame) -> DataFrame:
 
 
 def serve_top_authors(table: DataFrame, start: Moment | None = None, end: Moment | None = None, *,
-                      limit: int = 10, posts: DataFrame | None = None) -> DataFrame:
+                      limit: int = 10, posts: DataFrame | None = None, by_platform: bool = False) -> DataFrame:
     """Top authors whose first post falls into the range, out of the table's all-time top.
 
-    Given ``posts``, the range selects the posts that are counted instead.
+    Given ``posts``, the range selects the posts that are counted instead, and ``by_platform`` keeps equal ids of
+    different platforms apart, as a ``table`` made with it does.
     """
     if posts is not None:
         inside = dates.moment_in_range(F.col("created_at"), start, end)
-        table = top_authors_engagement(_within(posts, inside), limit)
+        table = top_authors_engagement(_within(posts, inside), limit, by_platform=by_platform)
     else:
         table = _within(table, dates.moment_in_range(F.col("Date"), start, end))
     top = table.orderBy(F.desc("engagement"), F.asc_nulls_last("author"), F.asc_nulls_last("Date")).limit(limit)

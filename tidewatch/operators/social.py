@@ -68,6 +68,12 @@ def top_authors_engagement(posts: DataFrame, n: int = 10, *, by_platform: bool =
         .orderBy(F.desc("engagement"), *(F.asc_nulls_last(k) for k in keys))
         .limit(n)
     )
+    return first_posts_of(top, posts, by_platform=by_platform)
+
+
+def first_posts_of(top: DataFrame, posts: DataFrame, *, by_platform: bool = False) -> DataFrame:
+    """Name and time of the first of these posts of each author of ``top``, a few rows with their ``engagement``."""
+    keys = ["Platform", "author_id"] if by_platform else ["author_id"]
     winners = top.select("engagement", *(F.col(k).alias(f"top_{k}") for k in keys))
     first = F.struct(
         F.col("created_at").isNull().alias("undated"), "created_at",

@@ -152,23 +152,26 @@ def shared_rollup(events: DataFrame, root: str) -> Callable[[], DataFrame]:
     return cache(lambda: cut_lineage(news.daily_news_rollup(events), f"{root}/_checkpoints"))
 
 
-def refresh_news(events: DataFrame, root: str, rollup: Callable[[], DataFrame] | None = None,
+def refresh_news(events: DataFrame | None, root: str, rollup: Callable[[], DataFrame] | None = None, *,
+                 places: Callable[[], DataFrame] | None = None, top: Callable[[], DataFrame] | None = None,
                  **keyword_options) -> tuple[list[Status], DataFrame | None]:
     """Daily insights, places, trend, most mentioned events.
 
-    Returns the statuses and the keyword ranking, None if the latter cannot be computed.
+    Returns the statuses and the keyword ranking, None if the latter cannot be computed. ``rollup``, ``places`` and
+    ``top`` stand in for what is computed from the events otherwise.
     """
     rollup = rollup or shared_rollup(events, root)
+    places = places or (lambda: news.geo_analysis(events))
+    top = top or (lambda: news.top_events(events, RANKED_EVENTS))
 
     @cache
     def keyed() -> DataFrame:
-        top = news.top_events(events, RANKED_EVENTS)
-        return cut_lineage(extract_keywords(top, "SourceURL", **keyword_options), f"{root}/_checkpoints")
+        return cut_lineage(extract_keywords(top(), "SourceURL", **keyword_options), f"{root}/_checkpoints")
 
     statuses = [
         write_status("daily_insights", lambda: replace_table(news.insights_of(rollup()), f"{root}/daily_insights", sort_by=["Date"])),
         write_status("geo_analysis", lambda: replace_table(
-            news.geo_analysis(events), f"{root}/geo_analysis", sort_by=["ActionGeo_Lat", "ActionGeo_Long"])),
+            places(), f"{root}/geo_analysis", sort_by=["ActionGeo_Lat", "ActionGeo_Long"])),
         write_status("trend_analysis", lambda: replace_table(news.trend_of(rollup()), f"{root}/trend_analysis", sort_by=["Date"])),
         write_status(
             "top_mentions",
@@ -179,15 +182,16 @@ def refresh_news(events: DataFrame, root: str, rollup: Callable[[], DataFrame] |
     return statuses, news.keyword_ranking_of(keyed()) if statuses[-1].error is None else None
 
 
-def refresh_social(events: DataFrame, posts: DataFrame, root: str,
-                   mentions: Callable[[], DataFrame] | None = None) -> list[Status]:
+def refresh_social(events: DataFrame | None, posts: DataFrame, root: str,
+                   mentions: Callable[[], DataFrame] | None = None, *, rollup: Callable[[], DataFrame] | None = None,
+                   authors: Callable[[], DataFrame] | None = None) -> list[Status]:
     """Daily metrics, top authors, and the upsert of the day-by-day pairing.
 
-    ``mentions`` gives the rollup that ``refresh_news`` used, which saves a scan of the events.
+    ``mentions`` gives the rollup that ``refresh_news`` used, which saves a scan of the events. ``rollup`` and ``authors``
+    stand in for what is computed from the posts otherwise.
     """
-    @cache
-    def rollup() -> DataFrame:
-        return cut_lineage(social.daily_social_rollup(posts), f"{root}/_checkpoints")
+    rollup = rollup or cache(lambda: cut_lineage(social.daily_social_rollup(posts), f"{root}/_checkpoints"))
+    authors = authors or (lambda: social.top_authors_engagement(posts))
 
     def pair() -> int:
         paired = correlation.pair_days(
@@ -201,7 +205,7 @@ def refresh_social(events: DataFrame, posts: DataFrame, root: str,
         ),
         write_status(
             "top_authors_engagement",
-            lambda: replace_table(social.top_authors_engagement(posts), f"{root}/top_authors_engagement"),
+            lambda: replace_table(authors(), f"{root}/top_authors_engagement"),
         ),
         write_status("news_social_correlation", pair),
     ]

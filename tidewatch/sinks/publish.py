@@ -57,6 +57,11 @@ class Files:
         out.close()
         self.move(draft, name)
 
+    def replace(self, name: str, text: str) -> None:
+        """Like ``write`` over a file that may exist; a process that dies in between leaves no file."""
+        self.remove(name)
+        self.write(name, text)
+
     def read(self, name: str) -> str:
         source, out = self.store.open(self.at(name)), self._bytes()
         self._io.copyBytes(source, out, 4096, True)

@@ -74,6 +74,22 @@ def replace_loads(df: DataFrame | None, path: str, partition_by: list[str], load
     return rows
 
 
+def replace_days(df: DataFrame, path: str, column: str, days: list[str]) -> int:
+    """Make ``df`` all that the partitions of these days hold; those it has no rows for go."""
+    files, staged = staged_folder(df.sparkSession, path)
+    try:
+        rows = append_rows(df, f"{files.root}/{staged}", [column])
+        new = {f for f in files.folders(staged) if "=" in f}
+        old = {f"{column}={day}" for day in days if files.exists(f"{column}={day}")}
+    except Exception:
+        files.remove(staged)
+        raise
+    if new | old:
+        publish(files, staged, [(place, place in new) for place in sorted(new | old)])
+    files.remove(staged)
+    return rows
+
+
 def replace_table(df: DataFrame, path: str, *, sort_by: list[str] | None = None) -> int:
     """Replace a derived table; sorted files let a reader skip row groups by min and max.
 
