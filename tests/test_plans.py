@@ -37,7 +37,7 @@ def test_no_cross_joins_no_python_and_no_unbounded_broadcast(spark, name):
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "MapInArrow"):
         assert node not in text
     # The winners of a top-k and the cut-offs of a search are the only sides ever broadcast by hint.
-    hinted = "authors" in name or name in ("serve_geo_events_in_range", "search_posts_capped")
+    hinted = "authors" in name or name in ("serve_geo_events_in_range", "serve_geo_days_in_range", "search_posts_capped")
     assert ("BroadcastExchange" in text) == hinted
 
 

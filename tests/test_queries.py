@@ -32,3 +32,13 @@ def test_entry_has_rows_and_a_stable_schema(spark):
     frame = contract.entry(spark)
     assert frame.columns == ["Date", "mentions", "engagement"]
     assert frame.count() > 0
+
+
+@pytest.mark.parametrize("name, column", [
+    ("serve_top_authors_first_hours", "author"), ("panel_top_authors_first_hours", "Author"), ("serve_top_authors_by_platform", "author"),
+    ("document_url_keywords", "Keywords"), ("hashtags_from_tagged_documents", "hashtags"), ("events_routed", "reason"),
+    ("serve_geo_days_in_range", "SOURCEURL"),
+])
+def test_sparse_results_are_not_empty(spark, name, column):
+    values = [r[column] for r in contract.queries()[name](spark, FOLDER).collect()]
+    assert sum(bool(v) for v in values) >= 3

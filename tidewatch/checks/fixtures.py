@@ -59,6 +59,12 @@ POSTS = {
                         "+ coalesce(case when event_id % 11 = 0 then null else event_id % 10 end, 0)",
 }
 
+ARTICLES = {
+    "url": "'https://docs.example.org/' || lang || '/' || replace(translate(substring(text, 1, 70), "
+           "'#%?;&/:+' || chr(10) || chr(13) || chr(9), ''), ' ', '-') || '.html'",
+    "tagged": "replace(replace(text, ' a', ' #a'), ' e', ' #e')",
+}
+
 # Part of speech of the words the part names are made of.
 LEXICON = """
     select distinct lower(split_part(p_name, ' ', 1)) as token, 'ADJ' as pos,
@@ -92,6 +98,11 @@ def news_without_urls(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").selectExpr(*_columns({k: v for k, v in NEWS.items() if k != "SOURCEURL"}))
 
 
+def articles(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with an address made of their first words, and with some of their words as hashtags."""
+    return table(spark, folder, "documents").selectExpr("doc_id", *_columns(ARTICLES))
+
+
 def posts(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").selectExpr(*_columns(POSTS))
 
@@ -104,4 +115,5 @@ NEWS_SQL = (
     f"select {', '.join(_columns(NEWS))} from orders "
     "left join part on p_partkey = o_orderkey % (select count(*) from part)"
 )
+ARTICLES_SQL = f"select doc_id, {', '.join(_columns(ARTICLES))} from documents"
 POSTS_SQL = f"select {', '.join(_columns(POSTS))} from events"

@@ -353,3 +353,33 @@ ORACLE = {
         from posts where created_at >= timestamp '2024-01-01' and created_at < timestamp '2024-01-31'
         qualify row_number() over (partition by Platform, {WINDOW} order by posts.created_at, post_id) <= {CAP}"""),
 }
+
+# The same results by way of cubes.
+ORACLE |= {name: ORACLE[same] for name, same in {
+    "insights_from_news_days": "daily_insights", "geo_from_place_days": "geo_analysis",
+    "serve_geo_days_in_range": "serve_geo_events_in_range", "top_mentions_from_days": "top_mentions",
+    "metrics_from_author_days": "social_temporal_metrics", "top_authors_from_author_days": "top_authors_engagement",
+}.items()}
+
+FIRST_HOURS = "d between timestamp '2024-01-01 00:00:00' and timestamp '2024-01-01 08:00:00'"
+
+ORACLE |= {
+    "events_routed": _with(select="""
+        select 'events' as kind, GlobalEventID, cast(null as varchar) as reason from news where GlobalEventID % 67 <> 0
+        union all
+        select 'rejects', GlobalEventID, case when GlobalEventID % 67 = 0 then 'bad_date' else 'malformed' end
+        from news where GlobalEventID % 67 = 0 or GlobalEventID % 71 = 0 or GlobalEventID % 73 = 0"""),
+    "serve_top_authors_first_hours": _with(_authors(), select=f"""
+        select author, engagement, {ISO_MILLIS} as "Date" from authors where {FIRST_HOURS}"""),
+    "serve_top_authors_by_platform": _with(POST_RANGE, _authors("Platform, author_id", "in_range"), select=f"""
+        select Platform, author, engagement, {ISO_MILLIS} as "Date" from authors"""),
+    "panel_top_authors_first_hours": _with(_authors(), select=f"""
+        select author as "Author", engagement as "Total Engagement" from authors where {FIRST_HOURS}"""),
+    "document_url_keywords": (
+        f"with articles as ({fx.ARTICLES_SQL}), {_titles('articles', 'doc_id', 'url')}, {_words()} "
+        "select id as doc_id, Keywords from keyed"),
+    "hashtags_from_tagged_documents": f"""
+        select doc_id, array_to_string(list_sort(list_distinct(list_transform(
+            list_filter(string_split(tagged, ' '), lambda w: starts_with(w, '#')), lambda w: substr(w, 2)))), '|') as hashtags
+        from ({fx.ARTICLES_SQL})""",
+}

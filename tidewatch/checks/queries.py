@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.checks import fixtures as fx
 from tidewatch.functions import tags, urls
-from tidewatch.operators import correlation, dedup, keywords, news, normalize, search, serving, social
+from tidewatch.operators import correlation, cubes, dedup, keywords, news, normalize, search, serving, social
 from tidewatch.schemas import EVENT_SCHEMA
 from tidewatch.sinks.tables import to_documents
 from tidewatch.sources import events as event_source
@@ -22,6 +22,7 @@ from tidewatch.sources import posts as post_source
 
 RANGE = ("2024-01-05T00:00:00.000Z", "2024-01-20T12:00:00.000Z")
 WORDS = {"stop_words": fx.STOP_WORDS}
+FIRST_HOURS = ("2024-01-01T00:00:00.000Z", "2024-01-01T08:00:00.000Z")
 MONTH = ("2024-01-01", "2024-01-31")
 CAP = 50
 
@@ -480,3 +481,83 @@ def hashtags_from_documents(spark, folder):
 def search_posts_capped(spark, folder):
     found = search.search_posts(fx.posts(spark, folder), None, *MONTH, limit=CAP)
     return found.select("Platform", "post_id", second("created_at"), second("window_start"))
+
+
+# Cubes by day ------------------------------------------------------------------------------
+
+def _dated(spark: SparkSession, folder: str) -> DataFrame:
+    return event_source.with_event_date(fx.news(spark, folder)).where(F.col("event_date").isNotNull())
+
+
+@query
+def insights_from_news_days(spark, folder):
+    days = cubes.news_days(event_source.with_event_date(fx.news_without_urls(spark, folder)))
+    return news.insights_of(cubes.rollup_of(days)).select(day(), rounded("AvgImpact"), rounded("AvgTone"), "NumMentions")
+
+
+@query
+def geo_from_place_days(spark, folder):
+    return cubes.geo_analysis_of(cubes.place_days(_dated(spark, folder))).select(
+        "ActionGeo_Lat", "ActionGeo_Long", rounded("AvgImpact"), "NumMentions", "EventCode", "SOURCEURL", day())
+
+
+@query
+def serve_geo_days_in_range(spark, folder):
+    return serving.serve_geo(None, *RANGE, days=cubes.place_days(_dated(spark, folder))).select(
+        "ActionGeo_Lat", "ActionGeo_Long", rounded("AvgImpact"), "NumMentions", "EventCode", "SOURCEURL", "Date")
+
+
+@query
+def top_mentions_from_days(spark, folder):
+    top = news.top_events(cubes.top_event_days(_dated(spark, folder), 20), 10)
+    return news.top_mentions_of(keywords.extract_keywords(top, "SourceURL", **WORDS)).select(
+        "SourceURL", "EventRootCode", day(), "TotalMentions", "Location.Latitude", "Location.Longitude",
+        "NumMentions", "NumSources", "NumArticles", joined("Keywords"))
+
+
+@query
+def metrics_from_author_days(spark, folder):
+    rollup = cubes.social_rollup_of(cubes.author_days(fx.posts(spark, folder)))
+    return social.metrics_of(rollup).select(day("date"), "metrics.*").select(
+        "date", "posts", "engagement", "likes", "shares", "comments", "views", "uniqueAuthors", rounded("sponsoredPercentage"))
+
+
+@query
+def top_authors_from_author_days(spark, folder):
+    posts = fx.posts(spark, folder)
+    return cubes.top_authors_of(cubes.author_days(posts), posts).select("author", "engagement", second("Date"))
+
+
+# More on sparse results --------------------------------------------------------------------
+
+@query
+def events_routed(spark, folder):
+    parsed = event_source.parse_event_lines(event_lines(spark, folder), keep_corrupt=True)
+    return event_source.routed(parsed).select("kind", "GlobalEventID", F.col("reject_reason").alias("reason"))
+
+
+@query
+def serve_top_authors_first_hours(spark, folder):
+    return serving.serve_top_authors(social.top_authors_engagement(fx.posts(spark, folder)), *FIRST_HOURS)
+
+
+@query
+def serve_top_authors_by_platform(spark, folder):
+    return serving.serve_top_authors(None, *RANGE, posts=fx.posts(spark, folder), by_platform=True)
+
+
+@query
+def panel_top_authors_first_hours(spark, folder):
+    return serving.panel(
+        serving.serve_top_authors(social.top_authors_engagement(fx.posts(spark, folder)), *FIRST_HOURS), "top_authors")
+
+
+@query
+def document_url_keywords(spark, folder):
+    return keywords.extract_keywords(fx.articles(spark, folder), "url", **WORDS).select("doc_id", joined("Keywords"))
+
+
+@query
+def hashtags_from_tagged_documents(spark, folder):
+    found = F.array_sort(tags.text_tags(F.col("tagged"), strip_hash=True))
+    return fx.articles(spark, folder).select("doc_id", F.array_join(found, "|").alias("hashtags"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.operators.news import news_daily_mentions
@@ -24,5 +24,11 @@ def news_social_correlation(events: DataFrame, posts: DataFrame) -> DataFrame:
 
 
 def upsert_by_date(old: DataFrame, new: DataFrame, key: str = "Date") -> DataFrame:
-    """Rows of ``new``, and those of ``old`` whose date ``new`` does not produce."""
-    return old.join(new.select(key), key, "left_anti").unionByName(new)
+    """Rows of ``new``, and those of ``old`` whose date ``new`` does not produce; a null date stands for no date.
+
+    Both sides are read once: rows of one date meet, and the old ones go where a new one is among them.
+    """
+    rows = old.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
+    renewed = F.max("_new").over(Window.partitionBy(key))
+    return (rows.withColumn("_renewed", renewed)
+            .where(F.col("_new") | ~F.col("_renewed") | F.col(key).isNull()).drop("_new", "_renewed"))

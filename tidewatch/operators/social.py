@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tidewatch.functions import dates
 
 
+# Authors, of a sum and an id each, that may be asked for and still be sent to every task.
+BROADCAST_AUTHORS = 10_000
+
+
 def _total(name: str) -> Column:
     """Sum that is 0, not null, when every value is missing."""
     return F.coalesce(F.sum(name), F.lit(0))
@@ -68,10 +72,10 @@ def top_authors_engagement(posts: DataFrame, n: int = 10, *, by_platform: bool =
         .orderBy(F.desc("engagement"), *(F.asc_nulls_last(k) for k in keys))
         .limit(n)
     )
-    return first_posts_of(top, posts, by_platform=by_platform)
+    return first_posts_of(top, posts, by_platform=by_platform, few=n <= BROADCAST_AUTHORS)
 
 
-def first_posts_of(top: DataFrame, posts: DataFrame, *, by_platform: bool = False) -> DataFrame:
+def first_posts_of(top: DataFrame, posts: DataFrame, *, by_platform: bool = False, few: bool = True) -> DataFrame:
     """Name and time of the first of these posts of each author of ``top``, a few rows with their ``engagement``."""
     keys = ["Platform", "author_id"] if by_platform else ["author_id"]
     winners = top.select("engagement", *(F.col(k).alias(f"top_{k}") for k in keys))
@@ -83,7 +87,7 @@ def first_posts_of(top: DataFrame, posts: DataFrame, *, by_platform: bool = Fals
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"top_{k}"))
     return (
-        posts.join(F.broadcast(winners), same)
+        posts.join(F.broadcast(winners) if few else winners, same)
         .groupBy("engagement", *keys).agg(F.min(first).alias("first"))
         .orderBy(F.desc("engagement"), *(F.asc_nulls_last(k) for k in keys))
         .select(

@@ -20,7 +20,7 @@ from tidewatch.operators.normalize import normalize, union_posts
 from tidewatch.schemas import CORRUPT_COLUMN, PLATFORMS
 from tidewatch.session import cut_lineage
 from tidewatch.sinks.tables import (
-    Status, append_rows, replace_loads, replace_partitions, replace_table, write_status,
+    Status, append_rows, place_order, replace_loads, replace_partitions, replace_table, write_status,
 )
 from tidewatch.sources import events as event_source
 from tidewatch.sources import posts as post_source
@@ -28,10 +28,15 @@ from tidewatch.sources import posts as post_source
 REPORTED_EVENTS = 10
 RANKED_EVENTS = 20
 # Within a partition, rows lie in the order their readers filter by.
-EVENT_ORDER = ["ActionGeo_Lat", "ActionGeo_Long", "GlobalEventID"]
+EVENT_ID, POST_ID = ["GlobalEventID"], ["post_id"]
 POST_ORDER = ["created_at", "post_id"]
 
 
+def event_order() -> list[Column]:
+    """Events that are near each other lie together, so that a box skips row groups by either coordinate."""
+    return [place_order("ActionGeo_Lat", "ActionGeo_Long"), F.col("GlobalEventID")]
+
+
 def file_load(path: str = "_metadata.file_path") -> Column:
     """The name under which a file's rows are stored: of its whole path, as equal names occur in many folders."""
     # Listings write local paths with one slash, scans with three.
@@ -44,11 +49,13 @@ def _load_names(spark: SparkSession, files: list[str]) -> list[str]:
     return [row[0] for row in names.collect()]
 
 
-def _saved(rows: DataFrame, path: str, partition_by: list[str], sort_by: list[str] | None, replaces: list[str] | None) -> int:
+def _saved(rows: DataFrame, path: str, partition_by: list[str], replaces: list[str] | None, *,
+           sort_by: list[str | Column] | None = None, find_by: list[str] | None = None) -> int:
     """Append, or with names of loads, take their place."""
+    layout = {"sort_by": sort_by, "find_by": find_by}
     if replaces is None:
-        return append_rows(rows, path, partition_by, sort_by=sort_by)
-    return replace_loads(rows, path, partition_by, replaces, spark=rows.sparkSession, sort_by=sort_by)
+        return append_rows(rows, path, partition_by, **layout)
+    return replace_loads(rows, path, partition_by, replaces, spark=rows.sparkSession, **layout)
 
 
 def load_events(spark: SparkSession, paths: str | list[str], root: str, *, by_file: bool = False) -> list[Status]:
@@ -73,7 +80,8 @@ def save_events(raw: DataFrame, root: str, replaces: list[str] | None = None) ->
     kinds = Observation("kinds")
     rows = rows.observe(kinds, *(F.count_if(F.col("kind") == k).alias(k) for k in ("events", "rejects")))
     parts = ["kind", "load", "event_date"]
-    written = write_status("events", lambda: _saved(rows, f"{root}/raw_events", parts, EVENT_ORDER, replaces), empty_ok=True)
+    written = write_status("events", lambda: _saved(
+        rows, f"{root}/raw_events", parts, replaces, sort_by=event_order(), find_by=EVENT_ID), empty_ok=True)
     if not written.ok:
         return [written]
     events = event_source.seen(kinds, "events")
@@ -132,7 +140,8 @@ def save_posts(envelopes: dict[str, DataFrame], root: str, options: dict[str, di
         parts.append(normalize(post_source.unnest_hits(files, "load"), platform, **(options or {}).get(platform, {})))
     posts = union_posts(*parts).withColumn("post_date", F.to_date("created_at"))
     partitions = ["Platform", "load", "post_date"]
-    written = write_status("posts", lambda: _saved(posts, f"{root}/posts", partitions, POST_ORDER, replaces))
+    written = write_status("posts", lambda: _saved(
+        posts, f"{root}/posts", partitions, replaces, sort_by=POST_ORDER, find_by=POST_ID))
     if written.error:
         return [written]
     found = {kind: {p: event_source.seen(mark, kind) for p, mark in marks.items()} for kind in ("read", "truncated")}
@@ -140,7 +149,7 @@ def save_posts(envelopes: dict[str, DataFrame], root: str, options: dict[str, di
     # Where no file had a hit, nothing was counted on the way either.
     if any(event_source.seen(mark, "rejects", None) != 0 for mark in marks.values()):
         broken = write_status("post_rejects", lambda: _saved(
-            reduce(DataFrame.unionByName, rejects), f"{root}/post_rejects", ["Platform", "load"], None, replaces), empty_ok=True)
+            reduce(DataFrame.unionByName, rejects), f"{root}/post_rejects", ["Platform", "load"], replaces), empty_ok=True)
     elif replaces:
         replace_loads(None, f"{root}/post_rejects", ["Platform", "load"], replaces, spark=posts.sparkSession)
     return [Status(f"{p}_read", n, True) for p, n in found["read"].items()] + [
@@ -171,7 +180,7 @@ def refresh_news(events: DataFrame | None, root: str, rollup: Callable[[], DataF
     statuses = [
         write_status("daily_insights", lambda: replace_table(news.insights_of(rollup()), f"{root}/daily_insights", sort_by=["Date"])),
         write_status("geo_analysis", lambda: replace_table(
-            places(), f"{root}/geo_analysis", sort_by=["ActionGeo_Lat", "ActionGeo_Long"])),
+            places(), f"{root}/geo_analysis", sort_by=[F.desc("NumMentions"), "ActionGeo_Lat", "ActionGeo_Long"])),
         write_status("trend_analysis", lambda: replace_table(news.trend_of(rollup()), f"{root}/trend_analysis", sort_by=["Date"])),
         write_status(
             "top_mentions",
@@ -205,7 +214,7 @@ def refresh_social(events: DataFrame | None, posts: DataFrame, root: str,
         ),
         write_status(
             "top_authors_engagement",
-            lambda: replace_table(authors(), f"{root}/top_authors_engagement"),
+            lambda: replace_table(authors(), f"{root}/top_authors_engagement", sort_by=[F.desc("engagement")]),
         ),
         write_status("news_social_correlation", pair),
     ]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,12 +25,33 @@ class Status(NamedTuple):
 STATUS_SCHEMA = "table string, rows long, ok boolean, error string"
 
 
-def append_rows(df: DataFrame, path: str, partition_by: list[str], *, sort_by: list[str] | None = None,
-                rows_per_file: int = 0) -> int:
+def place_order(lat: str, long: str, bits: int = 16) -> Column:
+    """The Morton number of a coordinate pair: rows that are near in both coordinates are near in this order.
+
+    Each coordinate becomes a number of ``bits`` bits, and the bits of both alternate. Null and non-finite ones come first.
+    """
+    def spread(column: str, low: float, high: float) -> Column:
+        share = (F.col(column).cast("double") - low) / (high - low)
+        cell = F.floor(F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)) * ((1 << bits) - 1))
+        number = F.when(F.col(column).isNotNull() & ~F.isnan(column), cell).cast("long")
+        # Halve the groups of bits and move the halves apart, until single bits are left.
+        width = 16
+        while width:
+            mask = sum(((1 << width) - 1) << at for at in range(0, 62, 2 * width))
+            number = number.bitwiseOR(F.shiftleft(number, width)).bitwiseAND(F.lit(mask).cast("long"))
+            width //= 2
+        return number
+
+    return spread(lat, -90, 90).bitwiseOR(F.shiftleft(spread(long, -180, 180), 1))
+
+
+def append_rows(df: DataFrame, path: str, partition_by: list[str], *, sort_by: list[str | Column] | None = None,
+                find_by: list[str] | None = None, rows_per_file: int = 0, group_bytes: int = 0) -> int:
     """Append to a partitioned table and return the number of rows written.
 
     Rows are rebalanced by partition first: files come out at the advisory size, small
     partitions are merged and one that holds much of the data is split over many tasks.
+    Columns of ``find_by`` get Bloom filters, by which a reader skips row groups that lack a value.
     """
     balanced = df.hint("rebalance", *(F.col(c) for c in partition_by))
     if sort_by:
@@ -38,8 +59,12 @@ def append_rows(df: DataFrame, path: str, partition_by: list[str], *, sort_by: l
     # Counted above the shuffle, where a repeated task does not count twice.
     balanced, rows = counted(balanced, "append")
     writer = balanced.write.mode("append").partitionBy(*partition_by)
+    for column in find_by or []:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
+    if group_bytes:
+        writer = writer.option("parquet.block.size", group_bytes)
     writer.parquet(path)
     return seen(rows)
 
@@ -53,7 +78,7 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> int
 
 
 def replace_loads(df: DataFrame | None, path: str, partition_by: list[str], loads: list[str], *, spark: SparkSession,
-                  sort_by: list[str] | None = None) -> int:
+                  sort_by: list[str | Column] | None = None, find_by: list[str] | None = None) -> int:
     """Append the rows and remove what the ``load`` partitions of these names held before, once the new rows are complete.
 
     ``partition_by`` begins with a kind and ``load``. Unlike a dynamic overwrite this also removes days and kinds that the
@@ -61,7 +86,8 @@ def replace_loads(df: DataFrame | None, path: str, partition_by: list[str], load
     """
     files, staged = staged_folder(spark, path)
     try:
-        rows = 0 if df is None else append_rows(df, f"{files.root}/{staged}", partition_by, sort_by=sort_by)
+        rows = 0 if df is None else append_rows(
+            df, f"{files.root}/{staged}", partition_by, sort_by=sort_by, find_by=find_by)
         new = {f"{kind}/{load}" for kind in files.folders(staged) for load in files.folders(f"{staged}/{kind}") if "=" in load}
         kinds = [kind for kind in files.folders() if kind.startswith(f"{partition_by[0]}=")]
         old = {f"{kind}/load={load}" for kind in kinds for load in loads if files.exists(f"{kind}/load={load}")}
@@ -90,7 +116,7 @@ def replace_days(df: DataFrame, path: str, column: str, days: list[str]) -> int:
     return rows
 
 
-def replace_table(df: DataFrame, path: str, *, sort_by: list[str] | None = None) -> int:
+def replace_table(df: DataFrame, path: str, *, sort_by: list[str | Column] | None = None) -> int:
     """Replace a derived table; sorted files let a reader skip row groups by min and max.
 
     The old rows stay readable until the new ones are complete, so a table may also be computed from itself.
