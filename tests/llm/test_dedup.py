@@ -262,3 +262,22 @@ def test_recall_at_the_default_probes_with_many_lists(spark):
     found = np.array([links[i] for i in range(len(every))])
     assert (found <= want).all()
     assert found.sum() >= 0.9 * want.sum() and want.sum() >= 1990
+
+
+def test_suffix_dedup_where_most_keys_are_frequent_or_none(spark, monkeypatch):
+    """Whether a prefix goes to the rows or is met by a shuffle changes nothing."""
+    rows = [r for r in texts() if r[0] != 52]
+    for frequent in (1, 3):
+        monkeypatch.setattr(suffixes, "FREQUENT", frequent)
+        found = suffixes.remove_repeats(frame(spark, rows), length=40, prefix=8)
+        assert collected(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == byte_repeats(rows, 40)
+
+
+def test_a_frequent_passage_stays_where_it_is_read(spark, monkeypatch):
+    """A third of the documents hold one passage; no task of the join on prefixes gets them."""
+    from corpus import prose
+
+    passage = " ".join(prose(5, 60))
+    rows = [(i, " ".join(prose(1000 + i, 30)) + (f" {passage} " if i % 3 == 0 else " ") + " ".join(prose(5000 + i, 30))) for i in range(120)]
+    found = suffixes.repeated_spans(suffixes.documents(frame(spark, rows)), length=100, prefix=16).collect()
+    assert sorted(r.doc for r in found) == list(range(0, 120, 3))
