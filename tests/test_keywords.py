@@ -113,6 +113,50 @@ def test_an_empty_lexicon_equals_none(spark):
     assert plain == joined
 
 
+ODD_LEXICON = [*LEXICON, ("the", "PROPN", "the"), ("seven", "NOUN", "seven"), ("River", "NOUN", None), ("river", "VERB", "flow"),
+               ("café", "ADJ", "Café"), ("nato", "ADV", "nato"), ("42nd", "NOUN", "42nd"), (",", "NOUN", ","), ("talk", "X", "talk"),
+               ("ok", "VERB", "okay"), ("lost", None, "lose"), (None, "NOUN", "none")]
+
+
+@pytest.mark.parametrize("entries", [ODD_LEXICON, LEXICON, []])
+def test_dictionary_and_join_agree(spark, entries):
+    lexicon = spark.createDataFrame(entries, "token string, pos string, lemma string")
+    random.seed(11)
+    pieces = ["Storms", "hit", "the", "of", "seven", "River", "café", "NATO", "42nd", "2024", "talk", "OK", "ok", "lost", "a,b", "don't",
+              "quickly", "red", "HAVE", "İa", "x", "%20", "/", "/api", ".html", "storm", "coast!", "Σας"]
+    drawn = ["https://h.org/" + "-".join(random.choices(pieces, k=random.randint(0, 12))) for _ in range(300)]
+    frame = spark.createDataFrame([(u, u) for u in [None, *EDGE_URLS, *drawn]], "SOURCEURL string, table string").repartition(4)
+
+    def found(limit):
+        got = keywords.extract_keywords(frame, lexicon=lexicon, stop_words=STOPS, max_keywords=5, dictionary_bytes=limit)
+        assert got.columns == ["SOURCEURL", "table", "Keywords"]
+        return sorted((r["SOURCEURL"] or "", r["table"] or "", tuple(r["Keywords"])) for r in got.collect())
+
+    looked_up = found(keywords.DICTIONARY_BYTES)
+    assert looked_up == found(0) and any(words for _, _, words in looked_up)
+
+
+def test_a_lexicon_is_measured_before_it_goes_to_every_task(spark, lexicon):
+    entries = keywords.lexicon_entries(lexicon)
+    size = sum(len(t) + len(p) + len(m) + keywords.ENTRY_BYTES for t, p, m in LEXICON)
+    assert keywords.dictionary_slots(entries, size) == len(LEXICON)
+    assert keywords.dictionary_slots(entries, size - 1) is None
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert keywords.dictionary_slots(entries, size) is None
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_stay_where_they_are_beside_a_dictionary(spark, lexicon, tmp_path):
+    spark.range(10).selectExpr("id", "'https://a.org/storms-hit-coast' as SOURCEURL").write.parquet(str(tmp_path / "r"))
+    found = keywords.extract_keywords(spark.read.parquet(str(tmp_path / "r")), lexicon=lexicon, stop_words=STOPS)
+    assert [tuple(r["Keywords"]) for r in found.collect()] == [("storm", "hit", "coast")] * 10
+    # One projection right over the scan: a projection of its own would copy the dictionary into every row.
+    plan = found._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Project" and plan.children().head().nodeName().startswith("LogicalRelation")
+
+
 def test_default_stop_words_come_from_spark(spark):
     assert {"the", "and", "of"} <= set(words.default_stop_words())
     frame = spark.createDataFrame([("https://a.org/what-the-river-says",)], "SOURCEURL string")
