@@ -150,7 +150,8 @@ def test_a_lexicon_is_measured_before_it_goes_to_every_task(spark, lexicon):
 
 def test_rows_stay_where_they_are_beside_a_dictionary(spark, lexicon, tmp_path):
     spark.range(10).selectExpr("id", "'https://a.org/storms-hit-coast' as SOURCEURL").write.parquet(str(tmp_path / "r"))
-    found = keywords.extract_keywords(spark.read.parquet(str(tmp_path / "r")), lexicon=lexicon, stop_words=STOPS)
+    found = keywords.extract_keywords(spark.read.parquet(str(tmp_path / "r")), lexicon=lexicon, stop_words=STOPS,
+                                      dictionary_bytes=keywords.DICTIONARY_BYTES)
     assert [tuple(r["Keywords"]) for r in found.collect()] == [("storm", "hit", "coast")] * 10
     # One projection right over the scan: a projection of its own would copy the dictionary into every row.
     plan = found._jdf.queryExecution().optimizedPlan()

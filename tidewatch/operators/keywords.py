@@ -136,11 +136,12 @@ def lexicon_keywords(df: DataFrame, url_col: str, entries: DataFrame, stop_words
 
 def extract_keywords(df: DataFrame, url_col: str = "SOURCEURL", max_keywords: int = 10,
                      lexicon: DataFrame | None = None, stop_words: list[str] | None = None,
-                     out: str = "Keywords", dictionary_bytes: int = DICTIONARY_BYTES) -> DataFrame:
+                     out: str = "Keywords", dictionary_bytes: int = 0) -> DataFrame:
     """``df`` with an array of at most ``max_keywords`` keywords; empty when a URL yields none.
 
-    A lexicon is measured first. One of at most ``dictionary_bytes`` becomes a dictionary in which each row looks its
-    tokens up, so ``df`` is not shuffled; a larger one is joined with the tokens of the distinct URLs. Both give the same.
+    A lexicon is joined with the tokens of the distinct URLs. With ``dictionary_bytes``, say ``DICTIONARY_BYTES``, it is
+    measured first, and one of at most that size becomes a dictionary in which each row looks its tokens up. Both give
+    the same; the dictionary shuffles none of ``df`` but takes more processor time a row.
     """
     stops = words.default_stop_words() if stop_words is None else [w.lower() for w in stop_words]
     if lexicon is None:
