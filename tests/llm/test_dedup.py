@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from corpus import collected, frame, texts
+from corpus import collected, frame, prose, texts
 
 from tidewatch.llm import blocks, ordered, suffixes, vectors
 from tidewatch.llm.components import components
@@ -281,3 +281,15 @@ def test_a_frequent_passage_stays_where_it_is_read(spark, monkeypatch):
     rows = [(i, " ".join(prose(1000 + i, 30)) + (f" {passage} " if i % 3 == 0 else " ") + " ".join(prose(5000 + i, 30))) for i in range(120)]
     found = suffixes.repeated_spans(suffixes.documents(frame(spark, rows)), length=100, prefix=16).collect()
     assert sorted(r.doc for r in found) == list(range(0, 120, 3))
+
+
+def test_suffixes_of_one_beginning_go_to_several_ranges_by_their_prefix(spark, monkeypatch):
+    heads, prefixes = np.array([1, 5, 5, 5, 5, 5, 5, 9]), np.array([7, 1, 1, 2, 3, 4, 5, 8])
+    found = suffixes.ranges(np.array([5, 5, 5, 8]), heads, prefixes)
+    assert found[0] == 0 and found[-1] == 4 and found[1] == found[2] and len(set(found[1:7].tolist())) > 1
+    assert (found[1:7] <= 3).all()
+    monkeypatch.setattr(suffixes, "RANGE_MEMBERS", 2)
+    rows = [r for r in texts() if r[0] != 52]
+    rows += [(400 + i, f"the same beginning {'abcd'[i % 4] * 30} of {' '.join(prose(700 + i // 4, 20))}") for i in range(24)]
+    result = suffixes.remove_repeats(frame(spark, rows), length=40, prefix=16)
+    assert collected(result, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == byte_repeats(rows, 40)

@@ -5,9 +5,11 @@ equal windows have equal anchors at equal places, and the suffixes at anchors st
 prefix occurs nowhere else settles its windows: they are unique. Where the whole context that windows of an anchor can
 reach occurs again, its windows all repeat. What is left are anchors near the ends of repeats. Their suffixes are
 sorted: every task sorts its own into a run, codes each suffix as the length of the prefix it shares with the one
-before plus the rest, and sends the run's stretches to the tasks of their ranges. There a tree of losers merges the
-runs; a comparison starts behind the prefix that both sides are known to share with the last output, and is decided
-without looking at bytes where these lengths differ. The merged order comes with the common prefixes of neighbours.
+before plus the rest, and sends the run's stretches to the tasks of their ranges. Ranges are cut at quantiles of the
+first eight bytes; where many suffixes begin with the same eight bytes, their whole prefix chooses among them. There a
+tree of losers merges the runs; a comparison starts behind the prefix that both sides are known to share with the last
+output, and is decided without looking at bytes where these lengths differ. The merged order comes with the common
+prefixes of neighbours.
 
 Members of a group (equal ``PREFIX`` bytes) share with each other what lies between them in that order, and to the left
 of the anchor what lies between them in the order of their reversed left contexts. A window repeats where some other
@@ -219,21 +221,33 @@ def repeats(meta: np.ndarray, shared: list[int], lefts: list[bytes], length: int
     return [f for f in found if f[1] <= f[2]]
 
 
+def ranges(edges: np.ndarray, heads: np.ndarray, prefixes: np.ndarray) -> np.ndarray:
+    """The range of each suffix: by its first eight bytes, and where these fill several ranges, by its whole prefix.
+
+    Suffixes of one prefix, which are compared with each other, always meet in one range.
+    """
+    least, most = (np.searchsorted(edges, heads, side=side) for side in ("left", "right"))
+    return least + (mixed(prefixes.view(np.uint64)) % (most - least + 1).astype(np.uint64)).astype(np.int64)
+
+
 def _runs(batches: Iterator[pa.RecordBatch], splitters: list[int], length: int, prefix: int) -> Iterator[pa.RecordBatch]:
-    """Contexts of the members of each batch as front-coded runs, cut at the ranges."""
+    """Contexts of the members of each batch as front-coded runs, one for each range."""
     edges = np.array(splitters, dtype=np.int64)
     for rows, parts in slices(batches):
-        meta, heads, rights, lefts = [], [], [], []
+        meta, heads, prefixes, rights, lefts = [], [], [], [], []
         docs, tags = rows.column("doc").to_pylist(), rows.column("tag").to_pylist()
         for doc, tag, text, members in zip(docs, tags, parts, rows.column("members").to_pylist()):
             for m in members:
                 at = m["at"]
                 meta.append((doc, tag, at, m["low"], m["high"], m["alone"]))
                 heads.append(m["head"])
+                prefixes.append(m["prefix"])
                 rights.append(text[at:at + length])
                 lefts.append(text[max(0, at + prefix - length):at][::-1])
-        meta, target = np.array(meta, dtype=META), np.searchsorted(edges, np.array(heads, dtype=np.int64), side="right")
-        order = sorted(range(len(rights)), key=rights.__getitem__)
+        meta = np.array(meta, dtype=META)
+        target = ranges(edges, np.array(heads, dtype=np.int64), np.array(prefixes, dtype=np.int64))
+        order = np.array(sorted(range(len(rights)), key=rights.__getitem__), dtype=np.int64)
+        order = order[np.argsort(target[order], kind="stable")]
         target = target[order]
         out = []
         for begin, end in zip(*_stretches(target)):
@@ -326,12 +340,12 @@ def repeated_spans(texts: DataFrame, *, length: int = LENGTH, prefix: int = PREF
     groups = stored(classes.groupBy("prefix").agg(F.count("*").alias("contexts"), F.min("n").alias("least")).filter(
         "contexts > 1 and least = 1").select("prefix", "contexts"), "groups")
     members = stored(_with_keys(classes, groups, ["prefix"], "contexts").select(
-        "m.*", F.when(F.col("n") == 1, 1).otherwise(0).alias("alone"), (F.col("contexts") > group).alias("large")), "members")
+        "prefix", "m.*", F.when(F.col("n") == 1, 1).otherwise(0).alias("alone"), (F.col("contexts") > group).alias("large")), "members")
     total, large = members.agg(F.count("*"), F.count_if("large")).first()
     covered = whole
 
     def with_texts(rows: DataFrame) -> DataFrame:
-        by_doc = rows.groupBy("doc", "tag").agg(F.collect_list(F.struct("at", "low", "high", "head", "alone")).alias("members"))
+        by_doc = rows.groupBy("doc", "tag").agg(F.collect_list(F.struct("at", "low", "high", "head", "prefix", "alone")).alias("members"))
         # A repeated row brings its contexts twice, which changes nothing: they are not alone.
         return by_doc.join(texts.select("doc", "tag", "text"), ["doc", "tag"])
 
