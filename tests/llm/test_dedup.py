@@ -75,12 +75,43 @@ def word_repeats(rows, window):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize(("window", "bucket_bytes"), [(13, 1 << 20), (6, 5000)])
-def test_block_dedup(spark, window, bucket_bytes):
+@pytest.mark.parametrize(("window", "bucket_bytes", "share"), [
+    (13, 1 << 20, 16), (6, 5000, 16), (13, 5000, 16), (13, 20000, 1 << 20), (1, 20000, 64)])
+def test_block_dedup(spark, monkeypatch, window, bucket_bytes, share):
+    """Buckets alone, buckets next to frequent stretches and windows, and these alone give the same."""
+    monkeypatch.setattr(blocks, "SHARE", share)
     found = blocks.remove_repeats(frame(spark), window=window, bucket_bytes=bucket_bytes)
     assert collected(found, "doc_id", "n_words", "n_removed", "kept_sha256") == word_repeats(texts(), window)
 
 
+def test_no_bucket_gets_a_passage_of_a_third_of_the_documents(spark, monkeypatch):
+    passage = " ".join(prose(5, 60))
+    rows = [(i, " ".join(prose(1000 + i, 30)) + (f" {passage} " if i % 3 == 0 else " ") + " ".join(prose(5000 + i, 30)))
+            for i in range(240)]
+    sent = []
+    plain = blocks.frequent
+    monkeypatch.setattr(blocks, "frequent", lambda *a: sent.append(plain(*a)) or sent[-1])
+    found = blocks.remove_repeats(frame(spark, rows), bucket_bytes=4000)
+    assert collected(found, "doc_id", "n_words", "n_removed", "kept_sha256") == word_repeats(rows, 13)
+    assert len(sent[0].windows) == 60 - 13 + 1 and len(sent[0].blocks) == 60 - 7 + 1
+    assert (sent[0].earliest == 0).all()
+
+
+def test_counts_in_bounded_memory_miss_nothing_frequent():
+    pick = np.random.default_rng(0)
+    values = np.concatenate((np.repeat(np.arange(20), 5000), pick.integers(100, 1 << 40, 400000))).astype(np.uint64)
+    pick.shuffle(values)
+    tally = blocks.Counts(200)
+    for part in np.array_split(values, 300):
+        tally.add(part)
+        if len(tally.waiting) > 7:
+            tally.settle()
+    tally.settle()
+    kept = dict(zip(tally.keys.tolist(), tally.counts.tolist()))
+    assert len(kept) <= 200 and tally.total == len(values)
+    assert all(5000 - len(values) / 200 <= kept[i] <= 5000 for i in range(20))
+
+
 def similarity(a, b):
     """Longest common subsequence of labelled shingles by the quadratic table."""
     line = [0] * (len(b) + 1)
