@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from corpus import collected, frame, prose, texts
 
-from tidewatch.llm import blocks, ordered, suffixes, vectors
+from tidewatch.llm import blocks, ordered, storage, suffixes, vectors
 from tidewatch.llm.components import components
 
 
@@ -299,7 +299,7 @@ def test_suffix_dedup_where_most_keys_are_frequent_or_none(spark, monkeypatch):
     """Whether a prefix goes to the rows or is met by a shuffle changes nothing."""
     rows = [r for r in texts() if r[0] != 52]
     for frequent in (1, 3):
-        monkeypatch.setattr(suffixes, "FREQUENT", frequent)
+        monkeypatch.setattr(storage, "FREQUENT", frequent)
         found = suffixes.remove_repeats(frame(spark, rows), length=40, prefix=8)
         assert collected(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == byte_repeats(rows, 40)
 

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.storage import stored
+from tidewatch.llm.storage import stored, with_keys
 from tidewatch.llm.text import BYTE_CODES, PrefixHash, SecondHash, joined, mixed, slices, spans
 
 WINDOW = 13
@@ -78,7 +78,7 @@ class Counts:
     def add(self, values: np.ndarray) -> None:
         self.waiting.append(values)
         self.total += len(values)
-        if sum(map(len, self.waiting)) >= max(1 << 20, 4 * self.size):
+        if sum(map(len, self.waiting)) >= max(1 << 18, 4 * self.size):
             self.settle()
 
     def settle(self) -> None:
@@ -388,8 +388,8 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, bucket_bytes: int =
                                  F.octet_length("text").cast("long").alias("bytes")), "texts")
     total = narrow.agg(F.sum("bytes")).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
-    first = narrow.groupBy("whole").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    later = stored(narrow.join(first, "whole").filter("doc_id > first").select("doc_id", "tag").distinct(), "copies")
+    first = stored(narrow.groupBy("whole").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1"), "first")
+    later = stored(with_keys(narrow, first, ["whole"], "n").filter("doc_id > first").select("doc_id", "tag").distinct(), "copies")
 
     common = frequent(known, window, block, buckets)
     spread = narrow.sparkSession.sparkContext.broadcast(common)

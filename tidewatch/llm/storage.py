@@ -9,8 +9,12 @@ from dataclasses import dataclass, field
 
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSourceArrowWriter, WriterCommitMessage
 
+# Keys that a join sends to all tasks because they are the most frequent ones.
+FREQUENT = 4096
+
 
 def shared_folder(spark: SparkSession, kind: str) -> str:
     """A new folder below the one that ``spark.checkpoint.dir`` names.
@@ -42,6 +46,18 @@ def stored(df: DataFrame, kind: str, replaces: DataFrame | None = None) -> DataF
     return out
 
 
+def with_keys(rows: DataFrame, keys: DataFrame, on: list[str], number: str) -> DataFrame:
+    """``rows`` with the columns of ``keys``, one row of which says for how many rows (``number``) it is.
+
+    The ``FREQUENT`` most frequent keys go to the rows, so that theirs stay where they are; any other key is that of less
+    than one row in ``FREQUENT``, and is joined by a shuffle.
+    """
+    few = stored(keys.orderBy(F.desc(number), *on).limit(FREQUENT), "frequent")
+    names = F.broadcast(few.select(*on))
+    rest = rows.join(names, on, "left_anti").join(keys.join(names, on, "left_anti"), on)
+    return rows.join(F.broadcast(few), on).unionByName(rest)
+
+
 def discard(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

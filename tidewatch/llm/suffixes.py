@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.storage import stored
+from tidewatch.llm.storage import stored, with_keys
 from tidewatch.llm.text import BYTE_CODES, PrefixHash, SecondHash, joined, mixed, slices, spans, unpacked, whole_rows
 
 LENGTH, PREFIX = 400, 64
@@ -38,8 +38,6 @@ GROUP = 1 << 16
 # Members that one merging task is meant to hold.
 RANGE_MEMBERS = 16384
 CHUNK = 1 << 18
-# Keys that a join sends to all tasks because they are the most frequent ones.
-FREQUENT = 4096
 PLACE = np.uint64((1 << 20) - 1)
 META = np.dtype([("doc", "<i8"), ("tag", "<i8"), ("at", "<i4"), ("low", "<i4"), ("high", "<i4"), ("alone", "<i4")])
 
@@ -313,33 +311,21 @@ def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
                 names=["doc", "tag", "begin", "w1", "w2"])
 
 
-def _with_keys(rows: DataFrame, keys: DataFrame, on: list[str], number: str) -> DataFrame:
-    """``rows`` with the columns of ``keys``, one row of which says for how many rows (``number``) it is.
-
-    The ``FREQUENT`` most frequent keys go to the rows, so that theirs stay where they are; any other key is that of less
-    than one row in ``FREQUENT``, and is joined by a shuffle.
-    """
-    few = stored(keys.orderBy(F.desc(number), *on).limit(FREQUENT), "frequent")
-    names = F.broadcast(few.select(*on))
-    rest = rows.join(names, on, "left_anti").join(keys.join(names, on, "left_anti"), on)
-    return rows.join(F.broadcast(few), on).unionByName(rest)
-
-
 def repeated_spans(texts: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX, group: int = GROUP) -> DataFrame:
     """(doc, tag, spans): stretches of bytes covered by strings of ``length`` bytes that also start elsewhere."""
     found = stored(texts.filter(F.octet_length("text") >= length).select("doc", "tag", "text").mapInArrow(
         lambda batches: _anchor_batches(batches, length, prefix),
         "doc long, tag long, at int, low int, high int, prefix long, head long, c1 long, c2 long"), "anchors")
     again = stored(found.groupBy("prefix").agg(F.count("*").alias("n")).filter("n > 1"), "again")
-    shared = stored(_with_keys(found, again, ["prefix"], "n").drop("n"), "shared", replaces=found)
+    shared = stored(with_keys(found, again, ["prefix"], "n").drop("n"), "shared", replaces=found)
     context = ["prefix", "c1", "c2"]
     classes = stored(shared.groupBy(*context).agg(
         F.count("*").alias("n"), F.min(F.struct("doc", "tag", "at", "low", "high", "head")).alias("m")), "contexts")
-    whole = _with_keys(shared, classes.filter("n > 1").select(*context, "n"), context, "n").select(
+    whole = with_keys(shared, classes.filter("n > 1").select(*context, "n"), context, "n").select(
         "doc", "tag", (F.col("at") - F.col("high")).alias("begin"), (F.col("at") - F.col("low") + length).alias("end"))
     groups = stored(classes.groupBy("prefix").agg(F.count("*").alias("contexts"), F.min("n").alias("least")).filter(
         "contexts > 1 and least = 1").select("prefix", "contexts"), "groups")
-    members = stored(_with_keys(classes, groups, ["prefix"], "contexts").select(
+    members = stored(with_keys(classes, groups, ["prefix"], "contexts").select(
         "prefix", "m.*", F.when(F.col("n") == 1, 1).otherwise(0).alias("alone"), (F.col("contexts") > group).alias("large")), "members")
     total, large = members.agg(F.count("*"), F.count_if("large")).first()
     covered = whole
