@@ -324,3 +324,42 @@ def test_suffixes_of_one_beginning_go_to_several_ranges_by_their_prefix(spark, m
     rows += [(400 + i, f"the same beginning {'abcd'[i % 4] * 30} of {' '.join(prose(700 + i // 4, 20))}") for i in range(24)]
     result = suffixes.remove_repeats(frame(spark, rows), length=40, prefix=16)
     assert collected(result, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == byte_repeats(rows, 40)
+
+
+@pytest.mark.parametrize("group", [1 << 16, 2])
+def test_suffix_dedup_counts_shorter_repeats_in_the_same_pass(spark, group):
+    """Bytes in shorter repeats equal brute force at that length, and what is removed is that of the longer one alone."""
+    pick = random.Random(5)
+    letters = "".join(pick.choice("abcdefgh") for _ in range(400))
+    other = lambda: "".join(pick.choice("ijklmnop") for _ in range(60))
+    rows = [r for r in texts() if r[0] != 52]
+    rows += [(500 + i, other() + letters[a:b] + other()) for i, (a, b) in enumerate(
+        [(0, 400), (0, 150), (100, 180), (140, 260), (155, 235), (150, 400), (160, 230), (120, 240), (90, 210), (370, 400)])]
+    # Repeats that begin or end with their texts leave no room for longer windows.
+    rows += [(520, letters[:45]), (521, letters[:75]), (522, letters[330:]), (523, letters[350:])]
+    for length, shorter in ((70, 40), (100, 24), (40, 40)):
+        found = suffixes.remove_repeats(frame(spark, rows), length=length, shorter=shorter, prefix=8, group=group, keep_text=True)
+        assert found.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "clean_text", "n_repeated"]
+        assert collected(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == byte_repeats(rows, length)
+        assert collected(found, "doc_id", "n_bytes", "n_repeated") == sorted(
+            (r[:3] for r in byte_repeats(rows, shorter)), key=repr)
+
+
+def test_op3_marks_passages_of_51_to_60_words_and_removes_400_bytes(spark, tmp_path):
+    """Passages of over 50 words that two documents share are marked though most are too short to be removed."""
+    from tidewatch.llm.queries import QUERIES
+
+    rows = []
+    for k, n in enumerate(range(51, 61)):
+        passage = " ".join(f"{w}{k}" for w in prose(700 + k, n))
+        rows += [(2 * k + j, " ".join(f"{w}{k}{j}" for w in prose(720 + 2 * k + j, 40)) + f" {passage} "
+                  + " ".join(f"{w}{j}{k}" for w in prose(760 + 2 * k + j, 40))) for j in range(2)]
+    rows += [(100 + i, " ".join(f"{w}x{i}" for w in prose(800 + i, 150))) for i in range(5)]
+    rows += [(200 + i, " ".join(prose(820, 90)) + f" {i} " + " ".join(f"{w}y{i}" for w in prose(830 + i, 50))) for i in range(2)]
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["op3_suffix_dedup"](spark, str(tmp_path))
+    assert collected(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == byte_repeats(rows, 400)
+    assert collected(found, "doc_id", "n_bytes", "n_repeated") == sorted((r[:3] for r in byte_repeats(rows, 200)), key=repr)
+    marked = {r.doc_id for r in found.collect() if r.n_repeated}
+    assert marked == {i for i, _ in rows if i < 100 or i >= 200}
+    assert {r.doc_id for r in found.collect() if r.n_removed} < marked

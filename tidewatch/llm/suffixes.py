@@ -16,6 +16,10 @@ of the anchor what lies between them in the order of their reversed left context
 member shares its part on either side; going down the lengths of common prefixes finds that for all members at once.
 Groups beyond ``GROUP`` different contexts, which one task should not hold, are settled by counting their windows.
 
+Windows of a second, shorter length can be asked for in the same pass. Anchors are then those of the shorter windows: a
+longer window has that of the shorter one it starts with, and contexts reach as far as the longer windows do. The merged
+order settles either length.
+
 Null texts are empty. Texts shorter than a window keep all. Repeated rows are documents like any other, so a repeated
 long text is removed in both. Rows without an id are documents too. An empty table gives no rows.
 """
@@ -27,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.storage import stored, with_keys
@@ -68,7 +72,28 @@ def anchors(hashes: np.ndarray, n_windows: int, width: int) -> tuple[np.ndarray,
     return at[new], new, np.append(new[1:], len(at)) - 1
 
 
-def _anchor_batches(batches: Iterator[pa.RecordBatch], length: int, prefix: int) -> Iterator[pa.RecordBatch]:
+def packed(spot: tuple[np.ndarray, ...], reach: int) -> np.ndarray:
+    """Place of an anchor, least and most bytes before it at which its windows begin, and bytes of context from it on, as
+    one number that sorts as they do; the last three are at most ``reach``."""
+    bits = reach.bit_length()
+    out, *rest = (x.astype(np.int64) for x in spot)
+    if (out >> (63 - 3 * bits)).any():
+        raise ValueError("text too long for windows of this length")
+    for x in rest:
+        out = (out << bits) | x
+    return out
+
+
+def spot(name: str, reach: int) -> Column:
+    """One of the numbers that ``packed`` joined."""
+    bits = reach.bit_length()
+    shift = (3 - ("at", "low", "high", "room").index(name)) * bits
+    value = F.shiftright("spot", shift)
+    return (value if name == "at" else value.bitwiseAND(F.lit((1 << bits) - 1).cast("long"))).cast("int")
+
+
+def _anchor_batches(batches: Iterator[pa.RecordBatch], length: int, prefix: int, reach: int) -> Iterator[pa.RecordBatch]:
+    """Anchors of windows of ``length`` bytes, with their contexts up to ``reach`` bytes from the anchor on."""
     width = length - prefix + 1
     for rows, parts in slices(batches):
         data, begins = joined(parts)
@@ -85,19 +110,19 @@ def _anchor_batches(batches: Iterator[pa.RecordBatch], length: int, prefix: int)
         first, last = np.maximum(first, low), np.minimum(last, high - length)
         keep = (first <= last) & (last - low >= 0)
         at, first, last, owner, low, high = (x[keep] for x in (at, first, last, owner, low, high))
-        left, right = np.maximum(low, at + prefix - length), np.minimum(high, at + length)
+        left, right = np.maximum(low, at + prefix - length), np.minimum(high, at + reach)
         shape = ((at - left) * 1024 + (right - at)).astype(np.uint64)
         head = np.zeros(len(at), dtype=np.uint64)
         for i in range(8):
             head = (head << np.uint64(8)) | data[at + i]
         pick = pa.array(owner)
         yield pa.RecordBatch.from_arrays(
-            [rows.column("doc").take(pick), rows.column("tag").take(pick), pa.array((at - low).astype(np.int32)),
-             pa.array((at - last).astype(np.int32)), pa.array((at - first).astype(np.int32)),
-             pa.array(hashes[at].view(np.int64)), pa.array((head ^ np.uint64(1 << 63)).view(np.int64)),
+            [rows.column("doc").take(pick), rows.column("tag").take(pick),
+             pa.array(packed((at - low, at - last, at - first, right - at), reach)), pa.array(hashes[at].view(np.int64)),
+             pa.array((head ^ np.uint64(1 << 63)).view(np.int64)),
              pa.array(mixed(one.of(left, right) + shape).view(np.int64)),
              pa.array(mixed(two.of(left, right) + shape).view(np.int64))],
-            names=["doc", "tag", "at", "low", "high", "prefix", "head", "c1", "c2"])
+            names=["doc", "tag", "spot", "prefix", "head", "c1", "c2"])
 
 
 def shared_length(a: bytes, b: bytes, known: int = 0) -> int:
@@ -200,6 +225,9 @@ def repeats(meta: np.ndarray, shared: list[int], lefts: list[bytes], length: int
     rank[sorted(range(n), key=lefts.__getitem__)] = np.arange(n)
     low, high = np.zeros(n, dtype=np.int64), np.full(n, -1)
     for reach in np.unique(right[1:])[::-1]:
+        begin = length - reach
+        if begin >= left.shape[1]:  # no left context reaches so far
+            break
         group = np.cumsum(right < reach)
         order = np.lexsort((rank, group))
         same = group[order[1:]] == group[order[:-1]]
@@ -208,7 +236,6 @@ def repeats(meta: np.ndarray, shared: list[int], lefts: list[bytes], length: int
         best = np.full(n, -1)
         np.maximum.at(best, a, common)
         np.maximum.at(best, b, common)
-        begin = length - reach
         some = best >= begin
         apart = some & (begin > high + 1)
         found += [(int(i), int(low[i]), int(high[i])) for i in np.flatnonzero(apart & (high >= low))]
@@ -228,7 +255,8 @@ def ranges(edges: np.ndarray, heads: np.ndarray, prefixes: np.ndarray) -> np.nda
     return least + (mixed(prefixes.view(np.uint64)) % (most - least + 1).astype(np.uint64)).astype(np.int64)
 
 
-def _runs(batches: Iterator[pa.RecordBatch], splitters: list[int], length: int, prefix: int) -> Iterator[pa.RecordBatch]:
+def _runs(batches: Iterator[pa.RecordBatch], splitters: list[int], length: int, prefix: int,
+          reach: int) -> Iterator[pa.RecordBatch]:
     """Contexts of the members of each batch as front-coded runs, one for each range."""
     edges = np.array(splitters, dtype=np.int64)
     for rows, parts in slices(batches):
@@ -240,7 +268,7 @@ def _runs(batches: Iterator[pa.RecordBatch], splitters: list[int], length: int,
                 meta.append((doc, tag, at, m["low"], m["high"], m["alone"]))
                 heads.append(m["head"])
                 prefixes.append(m["prefix"])
-                rights.append(text[at:at + length])
+                rights.append(text[at:at + reach])
                 lefts.append(text[max(0, at + prefix - length):at][::-1])
         meta = np.array(meta, dtype=META)
         target = ranges(edges, np.array(heads, dtype=np.int64), np.array(prefixes, dtype=np.int64))
@@ -264,24 +292,27 @@ def _stretches(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begins, np.append(begins[1:], len(values))[:len(begins)]
 
 
-def _merge(table: pa.Table, length: int, prefix: int) -> pa.Table:
-    """Merge the runs of a range and settle its groups."""
+def _merge(table: pa.Table, ends: dict[str, int], prefix: int) -> pa.Table:
+    """Merge the runs of a range and settle its groups for the windows of each length in ``ends``."""
     runs, metas, lefts = [], [], []
     for row in table.to_pylist():
         runs.append(Run(np.frombuffer(row["shared"], "<u2"), np.frombuffer(row["sizes"], "<u2"), row["rests"]))
         metas.append(np.frombuffer(row["meta"], META))
-        ends = np.cumsum(np.frombuffer(row["left_sizes"], "<u2").astype(np.int64))
-        lefts.append([row["lefts"][a:b] for a, b in zip(np.concatenate(([0], ends[:-1])).tolist(), ends.tolist())])
-    out: list[tuple[int, int, int, int]] = []
+        stops = np.cumsum(np.frombuffer(row["left_sizes"], "<u2").astype(np.int64))
+        lefts.append([row["lefts"][a:b] for a, b in zip(np.concatenate(([0], stops[:-1])).tolist(), stops.tolist())])
+    out: list[tuple[int, ...]] = []
     group: list[tuple[int, int]] = []
     shared: list[int] = []
 
     def settle() -> None:
         if len(group) > 1:
             meta = np.array([metas[r][i] for r, i in group], dtype=META)
-            for i, low, high in repeats(meta, shared, [lefts[r][j] for r, j in group], length):
-                at = int(meta["at"][i])
-                out.append((int(meta["doc"][i]), int(meta["tag"][i]), at - high, at - low + length))
+            left = [lefts[r][j] for r, j in group]
+            for name, size in ends.items():
+                for i, low, high in repeats(meta, shared, left, size):
+                    at = int(meta["at"][i])
+                    out.append((int(meta["doc"][i]), int(meta["tag"][i]), at - high,
+                                *(at - low + size if n == name else at - high for n in ends)))
 
     for run, row, _, same in merged(runs):
         if same < prefix:
@@ -291,42 +322,62 @@ def _merge(table: pa.Table, length: int, prefix: int) -> pa.Table:
             shared.append(same)
         group.append((run, row))
     settle()
-    columns = list(zip(*out)) or [[]] * 4
+    columns = list(zip(*out)) or [[]] * (3 + len(ends))
     return pa.table({k: pa.array(c, t) for k, c, t in zip(
-        ("doc", "tag", "begin", "end"), columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))})
+        ("doc", "tag", "begin", *ends), columns, (pa.int64(), pa.int64(), pa.int32(), *(pa.int32() for _ in ends)))})
 
 
-def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """128-bit hashes of all windows of the given anchors."""
+def _windows(batches: Iterator[pa.RecordBatch], sizes: list[int]) -> Iterator[pa.RecordBatch]:
+    """128-bit hashes of all windows of the given anchors, of each size."""
     for rows, parts in slices(batches):
         for i, text in enumerate(parts):
             codes = BYTE_CODES[np.frombuffer(text, dtype=np.uint8)]
             members = rows.column("members")[i].as_py()
-            starts = np.concatenate([np.arange(m["at"] - m["high"], m["at"] - m["low"] + 1) for m in members])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([rows.column("doc")[i].as_py()] * len(starts), pa.int64()),
-                 pa.array([rows.column("tag")[i].as_py()] * len(starts), pa.int64()), pa.array(starts.astype(np.int32)),
-                 pa.array(PrefixHash(codes).of(starts, starts + length).view(np.int64)),
-                 pa.array(SecondHash(codes).of(starts, starts + length).view(np.int64))],
-                names=["doc", "tag", "begin", "w1", "w2"])
-
-
-def repeated_spans(texts: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX, group: int = GROUP) -> DataFrame:
-    """(doc, tag, spans): stretches of bytes covered by strings of ``length`` bytes that also start elsewhere."""
-    found = stored(texts.filter(F.octet_length("text") >= length).select("doc", "tag", "text").mapInArrow(
-        lambda batches: _anchor_batches(batches, length, prefix),
-        "doc long, tag long, at int, low int, high int, prefix long, head long, c1 long, c2 long"), "anchors")
+            for size in sizes:
+                starts = np.concatenate([np.arange(m["at"] - m["high"], min(m["at"] - m["low"], len(text) - size) + 1)
+                                         for m in members])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([rows.column("doc")[i].as_py()] * len(starts), pa.int64()),
+                     pa.array([rows.column("tag")[i].as_py()] * len(starts), pa.int64()), pa.array(starts.astype(np.int32)),
+                     pa.array([size] * len(starts), pa.int32()),
+                     pa.array(PrefixHash(codes).of(starts, starts + size).view(np.int64)),
+                     pa.array(SecondHash(codes).of(starts, starts + size).view(np.int64))],
+                    names=["doc", "tag", "begin", "size", "w1", "w2"])
+
+
+def repeated_spans(texts: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX, group: int = GROUP,
+                   shorter: int | None = None) -> DataFrame:
+    """(doc, tag, spans): stretches of bytes, ``begin`` to ``end``, covered by strings of ``length`` bytes that also start
+    elsewhere. With ``shorter``, also those that strings of so many bytes cover, ``begin`` to ``short_end``; a stretch of
+    one kind only is empty in the other."""
+    ends = {"end": length} | ({"short_end": shorter} if shorter else {})
+    least = min(ends.values())
+    if not prefix <= least <= length:
+        raise ValueError("the shorter length lies between the prefix and the length")
+    found = stored(texts.filter(F.octet_length("text") >= least).select("doc", "tag", "text").mapInArrow(
+        lambda batches: _anchor_batches(batches, least, prefix, length),
+        "doc long, tag long, spot long, prefix long, head long, c1 long, c2 long"), "anchors")
     again = stored(found.groupBy("prefix").agg(F.count("*").alias("n")).filter("n > 1"), "again")
     shared = stored(with_keys(found, again, ["prefix"], "n").drop("n"), "shared", replaces=found)
     context = ["prefix", "c1", "c2"]
     classes = stored(shared.groupBy(*context).agg(
-        F.count("*").alias("n"), F.min(F.struct("doc", "tag", "at", "low", "high", "head")).alias("m")), "contexts")
+        F.count("*").alias("n"), F.min(F.struct("doc", "tag", "spot", "head")).alias("m")), "contexts")
+    at, low, high, room = (spot(name, length) for name in ("at", "low", "high", "room"))
+    begin = at - high
+
+    def end(size: int) -> Column:
+        """Where the windows of an anchor end, those that the text has room for."""
+        lowest = F.greatest(low, F.lit(size) - room)
+        return F.when(high >= lowest, at - lowest + size).otherwise(begin)
+
     whole = with_keys(shared, classes.filter("n > 1").select(*context, "n"), context, "n").select(
-        "doc", "tag", (F.col("at") - F.col("high")).alias("begin"), (F.col("at") - F.col("low") + length).alias("end"))
+        "doc", "tag", begin.alias("begin"), *(end(size).alias(name) for name, size in ends.items()))
     groups = stored(classes.groupBy("prefix").agg(F.count("*").alias("contexts"), F.min("n").alias("least")).filter(
         "contexts > 1 and least = 1").select("prefix", "contexts"), "groups")
     members = stored(with_keys(classes, groups, ["prefix"], "contexts").select(
-        "prefix", "m.*", F.when(F.col("n") == 1, 1).otherwise(0).alias("alone"), (F.col("contexts") > group).alias("large")), "members")
+        "prefix", "m.*", "n", "contexts").select(
+        "prefix", "doc", "tag", "head", at.alias("at"), low.alias("low"), high.alias("high"),
+        F.when(F.col("n") == 1, 1).otherwise(0).alias("alone"), (F.col("contexts") > group).alias("large")), "members")
     total, large = members.agg(F.count("*"), F.count_if("large")).first()
     covered = whole
 
@@ -340,42 +391,52 @@ def repeated_spans(texts: DataFrame, *, length: int = LENGTH, prefix: int = PREF
         splitters = members.filter("not large").agg(
             F.percentile_approx("head", [i / n for i in range(1, n)], 100 * n)).first()[0] if n > 1 else []
         runs = with_texts(members.filter("not large")).mapInArrow(
-            lambda batches: _runs(batches, splitters, length, prefix),
+            lambda batches: _runs(batches, splitters, least, prefix, length),
             "range int, shared binary, sizes binary, rests binary, meta binary, left_sizes binary, lefts binary")
         covered = covered.union(runs.groupBy("range").applyInArrow(
-            lambda table: _merge(table, length, prefix), "doc long, tag long, begin int, end int"))
+            lambda table: _merge(table, ends, prefix),
+            "doc long, tag long, begin int, " + ", ".join(f"{name} int" for name in ends)))
     if large:
         windows = stored(with_texts(members.filter("large")).mapInArrow(
-            lambda batches: _windows(batches, length), "doc long, tag long, begin int, w1 long, w2 long"), "windows")
-        twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1")
-        covered = covered.union(windows.join(twice, ["w1", "w2"]).select(
-            "doc", "tag", "begin", (F.col("begin") + length).alias("end")))
-    return covered.groupBy("doc", "tag").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+            lambda batches: _windows(batches, sorted(set(ends.values()))),
+            "doc long, tag long, begin int, size int, w1 long, w2 long"), "windows")
+        twice = windows.groupBy("size", "w1", "w2").agg(F.count("*").alias("n")).filter("n > 1")
+        covered = covered.union(windows.join(twice, ["size", "w1", "w2"]).select("doc", "tag", "begin", *(
+            F.when(F.col("size") == size, F.col("begin") + size).otherwise(F.col("begin")).alias(name)
+            for name, size in ends.items())))
+    return covered.groupBy("doc", "tag").agg(F.collect_set(F.struct("begin", *ends)).alias("spans"))
+
+
+def inside(size: int, found: list[dict], end: str = "end") -> np.ndarray:
+    """Which of ``size`` bytes lie in a stretch."""
+    edge = np.zeros(size + 1, dtype=np.int64)
+    np.add.at(edge, [s["begin"] for s in found], 1)
+    np.add.at(edge, [s[end] for s in found], -1)
+    return np.cumsum(edge[:-1]) > 0
 
 
 def without(text: bytes, found: list[dict] | None) -> tuple[bytes, int]:
     """What is left of a text, and the number of maximal stretches removed."""
     if not found:
         return text, 0
-    edge = np.zeros(len(text) + 1, dtype=np.int64)
-    np.add.at(edge, [s["begin"] for s in found], 1)
-    np.add.at(edge, [s["end"] for s in found], -1)
-    gone = np.cumsum(edge[:-1]) > 0
+    gone = inside(len(text), found)
     return np.frombuffer(text, dtype=np.uint8)[~gone].tobytes(), len(spans(gone)[0])
 
 
 def remove_repeats(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX, group: int = GROUP,
-                   keep_text: bool = False) -> DataFrame:
+                   keep_text: bool = False, shorter: int | None = None) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
-    ``keep_text`` adds ``clean_text``, in which a character that lost some of its bytes is gone as a whole.
+    ``keep_text`` adds ``clean_text``, in which a character that lost some of its bytes is gone as a whole. ``shorter``
+    adds ``n_repeated``, the bytes covered by strings of so many bytes that also start elsewhere; these are not removed.
     """
     texts = documents(docs)
-    found = repeated_spans(texts, length=length, prefix=prefix, group=group)
+    found = repeated_spans(texts, length=length, prefix=prefix, group=group, shorter=shorter)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, parts in slices(batches):
-            left = [without(t, s) for t, s in zip(parts, rows.column("spans").to_pylist())]
+            found = rows.column("spans").to_pylist()
+            left = [without(t, s) for t, s in zip(parts, found)]
             columns = [rows.column("doc_id"), pa.array([len(t) for t in parts], pa.int64()),
                        pa.array([len(t) - len(k) for t, (k, _) in zip(parts, left)], pa.int64()),
                        pa.array([n for _, n in left], pa.int64()),
@@ -384,11 +445,15 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFI
             if keep_text:
                 columns.append(pa.array([k.decode(errors="ignore") for k, _ in left], pa.string()))
                 names.append("clean_text")
+            if shorter:
+                columns.append(pa.array([int(inside(len(t), s, "short_end").sum()) if s else 0
+                                         for t, s in zip(parts, found)], pa.int64()))
+                names.append("n_repeated")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return texts.join(found, ["doc", "tag"], "left").select("doc_id", "text", "spans").mapInArrow(
-        run, schema + (", clean_text string" if keep_text else ""))
+        run, schema + (", clean_text string" if keep_text else "") + (", n_repeated long" if shorter else ""))
 
 
 def clean(docs: DataFrame, *, length: int = LENGTH, prefix: int = PREFIX, group: int = GROUP) -> DataFrame:
